@@ -1,0 +1,54 @@
+"""Spark result against DuckDB result: names, types, number of rows, values."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
+
+# Spark type to the DuckDB type that holds the same values.
+TYPES = {
+    "string": "VARCHAR",
+    "varchar(3)": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+        )
+    return connection
+
+
+def mismatch(df, connection, sql):
+    """What differs, or None; rows are compared as bags, values exactly."""
+    names = sorted(df.columns)
+    # The order of columns does not count, the order of rows neither.
+    described = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    expected_types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    if described != expected_types:
+        return f"schema: spark {expected_types}, sql {described}"
+    columns = ", ".join(f'"{name}"' for name in names)
+    expected = connection.execute(f"SELECT {columns} FROM ({sql})").fetchall()
+    actual = [tuple(row) for row in df.select(*names).collect()]
+    if len(actual) != len(expected):
+        return f"rows: spark {len(actual)}, sql {len(expected)}"
+    left, right = Counter(actual), Counter(expected)
+    if left != right:
+        extra, missing = list((left - right).items()), list((right - left).items())
+        return f"values: {len(extra)} differ, spark {extra[:3]}, sql {missing[:3]}"
+    return None

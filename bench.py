@@ -32,6 +32,7 @@ HEADLINE = [
     "daily_delta_cut_series",
     "cast_lenient_long",
     "qa_count_by_region",
+    "pipeline_star",
 ]
 
 

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from daystar.functions.columns import as_column
 
-# Text formats of the feeds and the marts.
-COMPACT_FORMAT = "yyyyMMdd"
+# Fixed value: text format of dates in the marts.
 LABEL_FORMAT = "yyyy-MM-dd"
 
+# Eight digits.
+_COMPACT_TEXT = "^[0-9]{8}$"
+
 
 def iso_date(column):
     """`yyyy-MM-dd` text to a date; NULL if malformed."""
@@ -18,7 +20,10 @@ def iso_date(column):
 
 def compact_date(column):
     """`yyyyMMdd` text or number to a date; NULL if malformed."""
-    return F.try_to_date(as_column(column).cast("string"), COMPACT_FORMAT)
+    text = as_column(column).cast("string")
+    # Matched first: text that fails to parse would cost an exception per row.
+    dashed = F.concat_ws("-", *date_key_parts(text).values())
+    return F.when(text.rlike(_COMPACT_TEXT), dashed.try_cast("date"))
 
 
 def date_key(column):

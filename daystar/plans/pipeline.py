@@ -71,9 +71,8 @@ def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
 
 
 def build_gold(spark, base):
-    cases, tests = (
-        read_parquet(spark, f"{base}/silver/{name}", schema) for name, schema in _SILVER.items()
-    )
+    tables = silver_tables(spark, base)
+    cases, tests = tables["cases_standardized"], tables["testing_standardized"]
     write_parquet(dims.dim_date(cases, tests), f"{base}/gold/dim_date")
     write_parquet(dims.dim_region(cases), f"{base}/gold/dim_state")
     write_parquet(
@@ -103,6 +102,13 @@ def build_gold_text_key(spark, base):
     )
 
 
+def silver_tables(spark, base):
+    return {
+        name: read_parquet(spark, f"{base}/silver/{name}", schema)
+        for name, schema in _SILVER.items()
+    }
+
+
 def gold_tables(spark, base):
     return {
         name: read_parquet(spark, f"{base}/gold/{name}", schema)

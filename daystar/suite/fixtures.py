@@ -10,12 +10,51 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TERRITORY_REGION = "MIDDLE EAST"
 
 
+def _schema(longs="", ints="", texts="", doubles="", times=""):
+    kinds = [
+        (longs, T.LongType()),
+        (ints, T.IntegerType()),
+        (texts, T.StringType()),
+        (doubles, T.DoubleType()),
+        (times, T.TimestampNTZType()),
+    ]
+    return T.StructType(
+        [T.StructField(name, kind) for names, kind in kinds for name in names.split()]
+    )
+
+
+# Schemas of the given tables, so that no job has to open a file to find them out.
+SCHEMAS = {
+    "region": _schema(ints="r_regionkey", texts="r_name"),
+    "nation": _schema(ints="n_nationkey n_regionkey", texts="n_name"),
+    "customer": _schema("c_custkey", "c_nationkey", "c_name c_mktsegment", "c_acctbal"),
+    "supplier": _schema("s_suppkey", "s_nationkey", "s_name", "s_acctbal"),
+    "part": _schema("p_partkey", "p_size", "p_name p_brand p_type", "p_retailprice"),
+    "orders": _schema(
+        "o_orderkey o_custkey",
+        "",
+        "o_orderstatus o_orderpriority",
+        "o_totalprice",
+        "o_orderdate",
+    ),
+    "lineitem": _schema(
+        "l_orderkey l_partkey l_suppkey",
+        "l_linenumber",
+        "l_returnflag l_linestatus",
+        "l_quantity l_extendedprice l_discount l_tax",
+        "l_shipdate",
+    ),
+    "events": _schema("event_id user_id", "", "event_type props", "value", "ts"),
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def nation_code(key):

@@ -12,6 +12,7 @@ from daystar.operators import lookups, quality, series
 from daystar.plans import dims, facts, marts, pipeline, publish, silver
 from daystar.sources import catalog, files, scratch
 from daystar.suite import fixtures as fx
+from daystar.suite import stored
 
 QUERIES = {}
 
@@ -65,21 +66,24 @@ def _silver_cases_text(spark, sf):
     )
 
 
-# The feeds are grouped by region and day, so a region has no more rows than there
-# are days and fits one task whatever the scale: no search for long series. Series
-# of single events, below, keep that search.
+def _stored_cases(spark, sf):
+    return stored.silver(spark, sf, "cases_standardized")
+
+
+def _stored_tests(spark, sf):
+    return stored.silver(spark, sf, "testing_standardized")
 
 
 def _fact_cases(spark, sf):
-    return facts.cases(_silver_cases(spark, sf), hot_rows=None)
+    return stored.gold(spark, sf, "fact_cases_state_daily")
 
 
 def _fact_tests(spark, sf):
-    return facts.testing(_silver_tests(spark, sf), hot_rows=None)
+    return stored.gold(spark, sf, "fact_testing_state_daily")
 
 
 def _dim_date(spark, sf):
-    return dims.dim_date(_silver_cases(spark, sf), _silver_tests(spark, sf))
+    return stored.gold(spark, sf, "dim_date")
 
 
 def _fact_feed(spark, sf):
@@ -220,7 +224,7 @@ def publish_dim_date(spark, sf):
 
 @query
 def publish_dim_state(spark, sf):
-    return publish.narrow(dims.dim_region(_silver_cases(spark, sf)), STAR["dim_state"])
+    return publish.narrow(stored.gold(spark, sf, "dim_state"), STAR["dim_state"])
 
 
 @query
@@ -335,7 +339,7 @@ def date_label(spark, sf):
 @query
 def positivity_percent(spark, sf):
     rate = fn.percent("tests_pos_cum", "tests_total_cum").alias("positivity_rate")
-    return _silver_tests(spark, sf).select("full_date", "state_code", rate)
+    return _stored_tests(spark, sf).select("full_date", "state_code", rate)
 
 
 # Filters
@@ -421,7 +425,7 @@ def join_fact_fact(spark, sf):
 
 @query
 def orphan_dates(spark, sf):
-    only_cases = dims.dim_date(_silver_cases(spark, sf))
+    only_cases = dims.dim_date(_stored_cases(spark, sf))
     return quality.orphans(_fact_tests(spark, sf), only_cases, "date_id")
 
 
@@ -440,17 +444,17 @@ def distinct_single(spark, sf):
 
 @query
 def dim_region(spark, sf):
-    return dims.dim_region(_silver_cases(spark, sf))
+    return dims.dim_region(_stored_cases(spark, sf))
 
 
 @query
 def qa_date_range(spark, sf):
-    return quality.profile(_silver_cases(spark, sf))
+    return quality.profile(_stored_cases(spark, sf))
 
 
 @query
 def qa_count_by_region(spark, sf):
-    return quality.count_by(_silver_tests(spark, sf))
+    return quality.count_by(_stored_tests(spark, sf))
 
 
 @query
@@ -475,7 +479,7 @@ def duplicate_keys(spark, sf):
 
 @query
 def union_dates(spark, sf):
-    return dims.union_dates(_silver_cases(spark, sf), _silver_tests(spark, sf))
+    return dims.union_dates(_stored_cases(spark, sf), _stored_tests(spark, sf))
 
 
 # Ordered series
@@ -517,13 +521,13 @@ def moving_avg_cut_series(spark, sf):
 @query
 def moving_avg_cases(spark, sf):
     averages = {"new_cases_7day": "new_cases"}
-    return series.moving_avg(_fact_cases(spark, sf), averages, **_STATE, hot_rows=None)
+    return series.moving_avg(_fact_cases(spark, sf), averages, **_STATE)
 
 
 @query
 def moving_avg_positivity(spark, sf):
     averages = {"positivity_rate_7day": "positivity_rate"}
-    return series.moving_avg(_fact_tests(spark, sf), averages, **_STATE, hot_rows=None)
+    return series.moving_avg(_fact_tests(spark, sf), averages, **_STATE)
 
 
 @query
@@ -561,7 +565,7 @@ def silver_typed_copy(spark, sf):
 
 @query
 def dim_date(spark, sf):
-    return _dim_date(spark, sf)
+    return dims.dim_date(_stored_cases(spark, sf), _stored_tests(spark, sf))
 
 
 @query
@@ -576,25 +580,23 @@ def region_codes(spark, sf):
 
 @query
 def fact_cases(spark, sf):
-    return _fact_cases(spark, sf)
+    return facts.cases(_stored_cases(spark, sf))
 
 
 @query
 def fact_cases_signed(spark, sf):
-    return facts.cases(_silver_cases_text(spark, sf), clamp=False, text_key=True, hot_rows=None)
+    return facts.cases(_silver_cases_text(spark, sf), clamp=False, text_key=True)
 
 
 @query
 def fact_testing(spark, sf):
-    return _fact_tests(spark, sf)
+    return facts.testing(_stored_tests(spark, sf))
 
 
 @query
 def fact_testing_percent(spark, sf):
     tests = silver.standardize_tests(fx.tests(spark, sf), text_key=True)
-    return facts.testing(
-        tests, clamp=False, text_key=True, as_percent=True, hot_rows=None
-    )
+    return facts.testing(tests, clamp=False, text_key=True, as_percent=True)
 
 
 @query
@@ -617,9 +619,7 @@ def cases_trend(spark, sf):
 
 @query
 def cases_trend_unlimited(spark, sf):
-    return marts.cases_trend(
-        _fact_cases(spark, sf), _lookup(spark, sf), limit=None, hot_rows=None
-    )
+    return marts.cases_trend(_fact_cases(spark, sf), _lookup(spark, sf), limit=None)
 
 
 @query
@@ -708,9 +708,7 @@ def unmatched_names(spark, sf):
 def pipeline_star(spark, sf):
     """Bronze to gold through written tables; gives the testing fact of the catalog."""
     base, prefix = scratch.new_folder(spark, "pipeline"), _new_prefix()
-    files.write_csv(fx.cases(spark, sf), f"{base}/bronze/cases")
-    files.write_csv(fx.tests(spark, sf), f"{base}/bronze/tests")
-    files.write_csv(fx.lookup(spark, sf), f"{base}/bronze/static")
+    stored.write_bronze(spark, sf, base)
     catalog.ensure_databases(spark, prefix, f"{base}/databases")
     pipeline.run(spark, base, silver_partitions=("state_code", "year"), prefix=prefix)
     fact = spark.table(f"{catalog.database('gold', prefix)}.fact_testing_state_daily")

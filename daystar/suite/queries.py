@@ -710,7 +710,7 @@ def pipeline_star(spark, sf):
     base, prefix = scratch.new_folder(spark, "pipeline"), _new_prefix()
     stored.write_bronze(spark, sf, base)
     catalog.ensure_databases(spark, prefix, f"{base}/databases")
-    pipeline.run(spark, base, silver_partitions=("state_code", "year"), prefix=prefix)
+    pipeline.run(spark, base, silver_partitions=("state_code",), prefix=prefix)
     fact = spark.table(f"{catalog.database('gold', prefix)}.fact_testing_state_daily")
     return fact.select(*contracts.FACT_TESTING.fieldNames())
 

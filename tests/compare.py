@@ -14,7 +14,6 @@ TABLES = (
 # Spark type to the DuckDB type that holds the same values.
 TYPES = {
     "string": "VARCHAR",
-    "varchar(3)": "VARCHAR",
     "bigint": "BIGINT",
     "int": "INTEGER",
     "smallint": "SMALLINT",

@@ -1,0 +1,33 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as driver
+from tests.compare import connect, mismatch
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    with connect(SF_DIR) as opened:
+        yield opened
+
+
+def test_same_names():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(driver.queries()))
+def test_query(spark, connection, name):
+    df = driver.queries()[name](spark, SF_DIR)
+    assert mismatch(df, connection, driver.oracle_sql()[name]) is None
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() > 0

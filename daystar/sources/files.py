@@ -28,17 +28,19 @@ def read_parquet(spark, path, schema=None):
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def write_parquet(df, path, partition_by=(), order_by=()):
+def write_parquet(df, path, partition_by=(), order_by=(), gather=True):
     """Replace a Parquet folder.
 
     With `partition_by`, rows are first brought together by partition value, so a
     folder gets few files; adaptive execution splits the values that hold too many
-    rows for one task and merges the small ones. With `order_by`, files are in key
-    order, or sorted inside each partition folder.
+    rows for one task and merges the small ones. `gather=False` saves that shuffle
+    for rows that are together already. With `order_by`, files are in key order, or
+    sorted inside each partition folder.
     """
     partition_by, order_by = list(partition_by), list(order_by)
     if partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+        if gather:
+            df = df.hint("rebalance", *[F.col(name) for name in partition_by])
         if order_by:
             df = df.sortWithinPartitions(*partition_by, *order_by)
     elif order_by:

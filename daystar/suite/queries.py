@@ -19,7 +19,7 @@ QUERIES = {}
 # Regions and dates that the single-region and single-day reports show.
 REGION, REGIONS = "N03", ["N01", "N07", "N18"]
 NAMES = ["Nation_1", "Nation_7", "Nation_18"]
-DATE_ID = 19970502
+DATE_ID = 19980817
 # Published region codes are three letters wide here.
 STAR = contracts.published_star(code_length=3)
 

@@ -103,15 +103,20 @@ def over_series(df, keys, order_by, build, lookback, hot_rows=HOT_ROWS):
     if hot_rows is None:
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order_by)))
 
-    pieces = _cut(df, keys, order_by[0], hot_rows)
-    with_copies = pieces.withColumn(_COPY, F.lit(False)).unionByName(
-        _rows_before_pieces(pieces, df.columns, keys, order_by, lookback)
+    columns = df.columns
+    pieces = _cut(df, columns, keys, order_by[0], hot_rows)
+    copies = _rows_before_pieces(pieces, columns, keys, order_by, lookback)
+    built = build(Window.partitionBy(*keys, _PIECE).orderBy(*order_by))
+    kept = [name for name in columns if name not in built]
+    return (
+        pieces.unionByName(copies)
+        .select(*kept, _COPY, *[column.alias(name) for name, column in built.items()])
+        .where(~F.col(_COPY))
+        .select(*kept, *built)
     )
-    window = Window.partitionBy(*keys, _PIECE).orderBy(*order_by)
-    return with_copies.withColumns(build(window)).where(~F.col(_COPY)).drop(_PIECE, _COPY)
 
 
-def _cut(df, keys, axis, hot_rows):
+def _cut(df, columns, keys, axis, hot_rows):
     """Tag rows with their piece; series within `hot_rows` stay whole."""
     position = _position(axis, df.schema[axis].dataType)
     count, high = "__count", "__high"
@@ -137,11 +142,11 @@ def _cut(df, keys, axis, hot_rows):
     )
     # A missing position sorts first, as it does in the window.
     piece = F.coalesce(F.floor((position - F.col(_LOW)) / F.col(_WIDTH)) + 1, F.lit(0))
-    return (
-        # At most HOT_SERIES rows, by the limit above.
-        df.join(F.broadcast(hot), same_key, "left")
-        .withColumn(_PIECE, F.when(F.col(_WIDTH).isNull(), F.lit(_WHOLE)).otherwise(piece))
-        .select(*df.columns, _PIECE)
+    # At most HOT_SERIES rows are broadcast, by the limit above.
+    return df.join(F.broadcast(hot), same_key, "left").select(
+        *columns,
+        F.when(F.col(_WIDTH).isNull(), F.lit(_WHOLE)).otherwise(piece).alias(_PIECE),
+        F.lit(False).alias(_COPY),
     )
 
 
@@ -149,23 +154,22 @@ def _rows_before_pieces(pieces, columns, keys, order_by, lookback):
     """Copies of the `lookback` rows that come before each piece of a cut series."""
     rank, before, follows = "__rank", "__before", "__follows"
     from_end = Window.partitionBy(*keys, _PIECE).orderBy(*[F.desc(name) for name in order_by])
-    ends = (
-        pieces.where(F.col(_PIECE) != _WHOLE)
-        .withColumn(rank, F.row_number().over(from_end))
-        .where(F.col(rank) <= lookback)
-    )
     # The ends of all pieces before a piece hold its last `lookback` rows before it.
     series = Window.partitionBy(*keys).orderBy(*order_by)
     return (
-        ends.withColumns(
-            {
-                before: F.collect_list(F.struct(*columns)).over(series.rowsBetween(-lookback, -1)),
-                follows: F.lag(_PIECE).over(series) != F.col(_PIECE),
-            }
+        pieces.where(F.col(_PIECE) != _WHOLE)
+        .withColumn(rank, F.row_number().over(from_end))
+        .where(F.col(rank) <= lookback)
+        .select(
+            _PIECE,
+            F.collect_list(F.struct(*columns))
+            .over(series.rowsBetween(-lookback, -1))
+            .alias(before),
+            (F.lag(_PIECE).over(series) != F.col(_PIECE)).alias(follows),
         )
         .where(follows)
-        .select(F.explode(before).alias(before), _PIECE)
-        .select(f"{before}.*", _PIECE, F.lit(True).alias(_COPY))
+        .select(_PIECE, F.inline(before))
+        .select(*columns, _PIECE, F.lit(True).alias(_COPY))
     )
 
 

@@ -129,7 +129,7 @@ def test_hot_series_spreads_over_pieces(spark):
         F.date_add(F.lit(START), (F.col("id") / 4).cast("int")).alias("d"),
         F.col("id").alias("v"),
     )
-    pieces = series._cut(days, ["k"], "d", 1000).groupBy("k", series._PIECE).count().collect()
+    pieces = series._cut(days, days.columns, ["k"], "d", 1000).groupBy("k", series._PIECE).count().collect()
     assert {row["count"] for row in pieces if row.k == "cold"} == {400}
     assert max(row["count"] for row in pieces) <= 1200
 

@@ -168,8 +168,8 @@ def _rows_before_pieces(pieces, columns, keys, order_by, lookback):
             (F.lag(_PIECE).over(series) != F.col(_PIECE)).alias(follows),
         )
         .where(follows)
-        .select(_PIECE, F.inline(before))
-        .select(*columns, _PIECE, F.lit(True).alias(_COPY))
+        .select(_PIECE, F.explode(before).alias(before))
+        .select(f"{before}.*", _PIECE, F.lit(True).alias(_COPY))
     )
 
 

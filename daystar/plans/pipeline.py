@@ -134,12 +134,21 @@ def register_tables(spark, base, silver_partitions=SILVER_PARTITIONS, prefix="da
         )
 
 
-def refresh_feed(spark, feed_path, regions_path, prefix="daystar", location=None):
+def refresh_feed(
+    spark, feed_path, regions_path, prefix="daystar", location=None, abbreviations_path=None
+):
     """Rebuild silver and gold tables from a feed that already carries daily changes."""
     catalog.ensure_databases(spark, prefix, location)
     bronze, silver_db, gold = (catalog.database(layer, prefix) for layer in catalog.LAYERS)
     catalog.register_csv(spark, f"{bronze}.raw_cases", contracts.BRONZE_FEED, feed_path)
     catalog.register_csv(spark, f"{bronze}.raw_states", contracts.BRONZE_REGIONS, regions_path)
+    if abbreviations_path:
+        catalog.register_csv(
+            spark,
+            f"{bronze}.raw_state_abv",
+            contracts.BRONZE_ABBREVIATIONS,
+            abbreviations_path,
+        )
     catalog.replace_table(
         silver.typed_copy(spark.table(f"{bronze}.raw_cases")), f"{silver_db}.silver_cases"
     )

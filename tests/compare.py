@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections import Counter
 
 import duckdb
@@ -51,3 +53,12 @@ def mismatch(df, connection, sql):
         extra, missing = list((left - right).items()), list((right - left).items())
         return f"values: {len(extra)} differ, spark {extra[:3]}, sql {missing[:3]}"
     return None
+
+
+def plan_of(df):
+    """Text of the physical plan that runs when `df` is collected."""
+    df.collect()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue().split("== Initial Plan ==")[0]

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every registered query against its SQL on the smallest tables, and its plan."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
-from tests.compare import connect, mismatch
+from tests.compare import connect, mismatch, plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -27,6 +27,9 @@ def test_same_names():
 def test_query(spark, connection, name):
     df = driver.queries()[name](spark, SF_DIR)
     assert mismatch(df, connection, driver.oracle_sql()[name]) is None
+    plan = plan_of(df)
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+        assert word not in plan
 
 
 def test_entry(spark):

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,17 +9,7 @@ from daystar import contracts
 from daystar.operators import lookups, series
 from daystar.plans import facts, marts
 from daystar.sources import files, scratch
-from daystar.suite.queries import QUERIES
-
-
-def plan_of(df, run=True):
-    """Text of the physical plan, the final one if run."""
-    if run:
-        df.collect()
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain()
-    return text.getvalue().split("== Initial Plan ==")[0]
+from tests.compare import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -87,10 +74,3 @@ def test_facts_are_written_without_a_second_shuffle(spark, gold):
     stored = spark.read.parquet(path).select("state_code", F.input_file_name().alias("file"))
     per_region = stored.distinct().groupBy("state_code").count().collect()
     assert {row["count"] for row in per_region} == {1} and len(per_region) == 6
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline_star", "pipeline_feed"}))
-def test_no_product_joins_and_no_python(spark, name):
-    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"), run=False)
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
-        assert word not in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe
+from daystar.llm import bpe, quality
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,11 @@ def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op9_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op8_bpe": op8_bpe,
+    "op9_quality": op9_quality,
 }

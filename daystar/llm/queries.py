@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, quality
+from daystar.llm import bpe, quality, secrets
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,7 +19,13 @@ def op9_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(secrets.scan(docs, secrets.train(docs)))
+
+
 QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }

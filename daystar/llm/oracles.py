@@ -1,3 +1,59 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES = {}
+from __future__ import annotations
+
+# The same mix by sorting: running sums in the order of the points.
+_MIX = r"""
+WITH sizes AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS point
+  FROM documents
+), named AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM sizes GROUP BY source
+), weighed AS (
+  SELECT *, CAST([3, 1, 2][(rank - 1) % 3 + 1] AS DOUBLE) AS weight,
+         source_size * CAST(2 AS DOUBLE) AS cap,
+         sum(source_size) OVER () * CAST(1.5 AS DOUBLE) AS budget
+  FROM named
+), remaining AS (
+  SELECT *, budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER (ORDER BY cap / weight, rank
+                              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS sharing,
+         row_number() OVER (ORDER BY cap / weight, rank) AS place
+  FROM weighed
+), level AS (
+  SELECT min(place) AS first_open, arg_min(rest, place) AS rest, arg_min(sharing, place) AS sharing
+  FROM remaining WHERE weight * rest / sharing <= cap
+), plan AS (
+  SELECT source, source_size,
+         CASE WHEN first_open IS NULL OR place < first_open THEN cap
+              ELSE weight * level.rest / level.sharing END AS target
+  FROM remaining, level
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM plan
+), points AS (
+  SELECT source, point, sum(size) AS n,
+         sum(sum(size)) OVER (PARTITION BY source ORDER BY point) AS upto
+  FROM sizes GROUP BY source, point
+), crossing AS (
+  SELECT p.source, arg_min(p.point, p.point) AS point, arg_min(p.upto, p.point) AS upto,
+         arg_min(p.n, p.point) AS n, any_value(target - whole * source_size) AS rest
+  FROM points p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source
+  WHERE target - whole * source_size > 0 AND upto >= target - whole * source_size
+  GROUP BY p.source
+), bounds AS (
+  SELECT b.source, source_size, target, whole,
+         coalesce(CASE WHEN upto - rest < rest - (upto - n) THEN point + 1 ELSE point END, 0) AS bound
+  FROM budgets b LEFT JOIN crossing c ON b.source IS NOT DISTINCT FROM c.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(whole + CASE WHEN point < bound THEN 1 ELSE 0 END AS INTEGER) AS copies,
+       CAST(size * (whole + CASE WHEN point < bound THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM sizes s JOIN bounds b ON s.source IS NOT DISTINCT FROM b.source
+"""
+
+ORACLES = {"op1_mix": _MIX}

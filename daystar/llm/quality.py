@@ -16,7 +16,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
+
+from daystar.llm.tables import stored
 
 #: Statistics of a text, in the order of `statistics`.
 STATISTICS = (
@@ -78,10 +80,18 @@ def statistics(text):
     )
 
 
-def matrix(texts):
-    """One row of statistics per text; null counts as empty."""
-    rows = [statistics(text or "") for text in texts]
-    return np.array(rows, dtype=np.float64).reshape(len(rows), len(STATISTICS))
+def statistics_column(text="text"):
+    """Array of the statistics of a text column; a null text counts as empty."""
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def measured(column):
+        return column.map(lambda value: np.array(statistics(value)))
+
+    return measured(F.coalesce(F.col(text), F.lit("")))
+
+
+def matrix(rows):
+    return np.array(list(rows), dtype=np.float64).reshape(len(rows), len(STATISTICS))
 
 
 @dataclass(frozen=True)
@@ -104,7 +114,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.log_odds(x), -500, 500)))
 
 
-def _moments(labelled, text, label):
+def _moments(measured, statistics, label):
     """Per class: number, sums and products of the statistics, added up by Spark.
 
     A task turns what it reads into one block of sums per class, so all labelled rows
@@ -126,7 +136,7 @@ def _moments(labelled, text, label):
         )
 
     cells = (
-        labelled.select(F.coalesce(F.col(text), F.lit("")), F.col(label).cast("int"))
+        measured.select(statistics, F.col(label).cast("int"))
         .mapInArrow(partial, "cell long, value double")
         .groupBy("cell")
         .agg(F.sum("value").alias("value"))
@@ -139,8 +149,8 @@ def _moments(labelled, text, label):
     return sums[:, 0], sums[:, 1 : size + 1], sums[:, size + 1 :].reshape(2, size, size)
 
 
-def fit(labelled, text="text", label="quality", shrink=0.3, ridge=0.1, prior=None):
-    """Fit the discriminant on all rows of `labelled` (columns `text`, `label` 0 or 1).
+def fit(measured, statistics="statistics", label="quality", shrink=0.3, ridge=0.1, prior=None):
+    """Fit the discriminant on all rows of `measured` (columns `statistics`, `label` 0 or 1).
 
     `shrink` moves each class covariance towards the pooled one, `ridge` towards its mean
     variance (and adds a hundredth of that to the diagonal, so a statistic that never
@@ -149,7 +159,7 @@ def fit(labelled, text="text", label="quality", shrink=0.3, ridge=0.1, prior=Non
     are left out; a class without rows takes the other's place, so all scores are 0.5; no
     rows at all give 0.5 too. Repeated rows count as often as they occur.
     """
-    n, sums, products = _moments(labelled.where(F.col(label).isin(0, 1)), text, label)
+    n, sums, products = _moments(measured.where(F.col(label).isin(0, 1)), statistics, label)
     size = len(STATISTICS)
     if not n.all():
         factor = np.eye(size)
@@ -167,14 +177,14 @@ def fit(labelled, text="text", label="quality", shrink=0.3, ridge=0.1, prior=Non
     return Model(means, np.stack(factors), np.log(n / n.sum() if prior is None else prior))
 
 
-def score_column(model, text="text"):
-    """Score of class 1 for a text column, 0 to 1; null and empty texts have one too."""
+def score_column(model, statistics):
+    """Score of class 1, 0 to 1, of a column of statistics."""
 
     @F.pandas_udf(DoubleType())
     def score(column):
-        return pd.Series(model.scores(matrix(column.tolist())))
+        return pd.Series(model.scores(matrix(column)))
 
-    return score(F.coalesce(F.col(text), F.lit("")))
+    return score(statistics)
 
 
 def held_out(doc_id="doc_id"):
@@ -183,8 +193,16 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(fold == 1, F.lit(True))
 
 
-def training_rows(docs, labels):
-    """Text and label of the documents that may be learned from.
+def measure(docs):
+    """doc_id and statistics of every row: the narrow table that labels are joined to.
+
+    Written, so texts are measured once and never shuffled.
+    """
+    return stored(docs.select("doc_id", statistics_column().alias("statistics")), "statistics")
+
+
+def train(measured, labels, **settings):
+    """Fit on the measured documents that may be learned from.
 
     Labels are joined once per document: of several labels of one id the lowest counts.
     """
@@ -193,19 +211,26 @@ def training_rows(docs, labels):
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "quality")
+    return fit(measured.join(known, "doc_id"), **settings)
 
 
 def classify(docs, labels, **settings):
-    """doc_id, held_out, score and predicted (1: score of 0.5 or more) per row of `docs`."""
-    model = fit(training_rows(docs, labels), **settings)
-    scored = docs.select(
-        "doc_id", held_out().alias("held_out"), score_column(model).alias("score")
+    """doc_id, held_out, score and predicted (1: score of 0.5 or more) per row of `docs`.
+
+    Null and empty texts are scored by their statistics like others; an empty table gives
+    no rows; other columns are never read.
+    """
+    measured = measure(docs)
+    model = train(measured, labels, **settings)
+    scored = measured.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        score_column(model, F.col("statistics")).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs, labels, **settings):
     """Rows of `docs`, all columns, without those that the classifier rejects."""
-    model = fit(training_rows(docs, labels), **settings)
-    return docs.where(score_column(model) >= 0.5)
+    model = train(measure(docs), labels, **settings)
+    return docs.where(score_column(model, statistics_column()) >= 0.5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, mixing, quality, secrets, simhash
+from daystar.llm import bpe, mixing, quality, repeats, secrets, simhash
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,10 @@ def op1_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_repeats(spark, sf_dir):
+    return repeats.report(repeats.deduplicated(table(spark, sf_dir, "documents")))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_secrets(spark, sf_dir):
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_repeats": op2_repeats,
     "op6_simhash": op6_simhash,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, mixing, quality, repeats, secrets, simhash
+from daystar.llm import bpe, lines, mixing, quality, repeats, secrets, simhash
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_lines(spark, sf_dir):
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_repeats": op2_repeats,
     "op6_simhash": op6_simhash,
+    "op7_lines": op7_lines,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-SHORT = 8
+SHORT = 6
 WINDOW = 20
 # Words that are hashed together before their rows leave the task.
 _SLICE_WORDS = 1 << 20
@@ -126,7 +126,7 @@ def _anchor_rows(docs, window, short):
     """(prefix, id, start, known): anchors of every document.
 
     Of the anchors that a slice has several times all are known to repeat, and one of
-    them stands for the slice; the others get a prefix of their own.
+    them stands for the slice; the others go with their document's.
     """
 
     def run(batches):
@@ -144,7 +144,7 @@ def _anchor_rows(docs, window, short):
                 continue
             prefixes, ids, starts = map(np.concatenate, (prefixes, ids, starts))
             first, sizes = _first_of_each(prefixes)
-            own = _mix(ids.astype(np.uint64) * np.uint64(_STEPS[0]) + starts.astype(np.uint64))
+            own = _mix(ids.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(first, prefixes, own).view(np.int64)),
@@ -159,10 +159,11 @@ def _anchor_rows(docs, window, short):
 
 
 def _suffix_rows(docs, window, short):
-    """(node, check, id, start, known): suffixes near repeated anchors, at full depth.
+    """(node, check, id, start): suffixes near repeated anchors, at full depth.
 
     `docs` has id, text and the anchors' starts. In a slice the first suffix of a node, by
-    id and start, is handed on; the others are known not to be first.
+    id and start, is handed on; the others are known not to be first, which a start of
+    -1 - start says.
     """
     reach = window - short
 
@@ -191,19 +192,19 @@ def _suffix_rows(docs, window, short):
             known = np.zeros(len(ids), dtype=bool)
             heads = group[np.maximum.accumulate(np.where(first[group], np.arange(len(group)), 0))]
             known[group] = (ids[group] != ids[heads]) | (starts[group] != starts[heads])
-            own = _mix(ids.astype(np.uint64) * np.uint64(_STEPS[1]) + starts.astype(np.uint64))
+            own = _mix(ids.astype(np.uint64))
+            checks = (checks >> np.uint64(33)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(known, own, nodes).view(np.int64)),
-                    pa.array(np.where(known, ~own, checks).view(np.int64)),
+                    pa.array(np.where(known, starts, checks).astype(np.int32)),
                     pa.array(ids),
-                    pa.array(starts.astype(np.int32)),
-                    pa.array(known),
+                    pa.array(np.where(known, -1 - starts, starts).astype(np.int32)),
                 ],
-                names=["node", "check", "id", "start", "known"],
+                names=["node", "check", "id", "start"],
             )
 
-    return docs.mapInArrow(run, "node long, check long, id long, start int, known boolean")
+    return docs.mapInArrow(run, "node long, check int, id long, start int")
 
 
 def _gathered(rows):
@@ -211,31 +212,55 @@ def _gathered(rows):
 
 
 def _keyed(docs):
-    """id and text: a null id counts as the greatest, a null text as empty."""
+    """id and text: a null id counts as the greatest, a null text as empty.
+
+    Both joins read these two columns, so texts are shuffled once.
+    """
     return docs.select(
-        F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
-        "doc_id",
     )
 
 
+def _copies(keyed):
+    """id and prints of the texts under it that another row with a smaller id has whole."""
+    prints = keyed.select(
+        "id", F.xxhash64("text").alias("print"), F.xxhash64(F.lit(1), "text").alias("check")
+    )
+    first = prints.groupBy("print", "check").agg(F.min("id").alias("first"))
+    later = prints.join(first, ["print", "check"]).where("id > first")
+    return later.groupBy("id").agg(F.collect_set("print").alias("prints"))
+
+
+def _is_copy():
+    return F.coalesce(F.array_contains("prints", F.xxhash64("text")), F.lit(False))
+
+
 def repeated_starts(docs, window=WINDOW, short=SHORT):
     """id and starts: windows whose words also start earlier, gathered by document.
 
-    Earlier is a smaller id, or the same document and a smaller start.
+    Earlier is a smaller id, or the same document and a smaller start. Whole copies of a
+    document with a smaller id are left out; all their windows start earlier.
     """
     keyed = _keyed(docs)
-    prefixes = _anchor_rows(keyed.select("id", "text"), window, short)
+    prefixes = _anchor_rows(keyed, window, short)
     twice = (
         prefixes.withColumn("n", F.count("*").over(Window.partitionBy("prefix")))
         .where("known or n > 1")
         .select("id", "start")
     )
-    near = keyed.join(_gathered(twice), "id").select("id", "text", "starts")
+    near = (
+        keyed.join(_gathered(twice), "id")
+        .join(_copies(keyed), "id", "left")
+        .where(~_is_copy())
+        .select("id", "text", "starts")
+    )
     suffixes = _suffix_rows(near, window, short)
     rank = F.rank().over(Window.partitionBy("node", "check").orderBy("id", "start"))
     return _gathered(
-        suffixes.withColumn("rank", rank).where("known or rank > 1").select("id", "start")
+        suffixes.withColumn("rank", rank)
+        .where("start < 0 or rank > 1")
+        .select("id", F.when(F.col("start") < 0, -1 - F.col("start")).otherwise(F.col("start")).alias("start"))
     )
 
 
@@ -256,18 +281,25 @@ def deduplicated(docs, window=WINDOW, short=SHORT):
     in the input's words; `kept` are the other words joined by one space. Windows are judged
     on the input. Texts that are null, empty or shorter than a window lose nothing. Rows
     that repeat an id count as one document, so the first occurrence stays in each of them;
-    a null id comes after all others. An empty table gives no rows.
+    a null id comes after all others (2^63 - 1 is read as null). An empty table gives no
+    rows.
     """
     starts = repeated_starts(docs, window, short)
     keyed = _keyed(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    doc_id = F.when(F.col("id") != _LAST_ID, F.col("id")).cast(kind)
 
     def run(batches):
         for batch in batches:
             n_words, n_removed, spans, kept = [], [], [], []
-            for text, found in zip(batch.column(1), batch.column(2), strict=True):
+            for text, found, copy in zip(*batch.columns[1:], strict=True):
                 words = words_of(text.as_py())
                 n_words.append(len(words))
+                if copy.as_py() and len(words) >= window:
+                    n_removed.append(len(words))
+                    spans.append([[0, len(words)]])
+                    kept.append(b"")
+                    continue
                 if not found.is_valid:
                     n_removed.append(0)
                     spans.append([])
@@ -291,7 +323,8 @@ def deduplicated(docs, window=WINDOW, short=SHORT):
 
     return (
         keyed.join(starts, "id", "left")
-        .select("doc_id", "text", "starts")
+        .join(_copies(keyed), "id", "left")
+        .select(doc_id.alias("doc_id"), "text", "starts", _is_copy().alias("copy"))
         .mapInArrow(
             run,
             f"doc_id {kind}, n_words long, n_removed long, spans array<array<int>>, kept string",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, caps, lines, mixing, quality, repeats, secrets, simhash
+from daystar.llm import bpe, caps, fingerprints, lines, mixing, quality, repeats, secrets, simhash
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op4_caps(spark, sf_dir):
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_repeats": op2_repeats,
     "op4_caps": op4_caps,
+    "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
     "op7_lines": op7_lines,
     "op8_bpe": op8_bpe,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from daystar.llm.license_texts import KNOWN
+from daystar.llm.licenses import COPYRIGHT_LINE, MARKS, SPELLINGS
+
 # The same mix by sorting: running sums in the order of the points.
 _MIX = r"""
 WITH sizes AS (
@@ -56,4 +59,40 @@ SELECT doc_id, size, source_size, target,
 FROM sizes s JOIN bounds b ON s.source IS NOT DISTINCT FROM b.source
 """
 
-ORACLES = {"op1_mix": _MIX}
+
+def _canonical(column):
+    """SQL of the canonical form; copyright lines, spellings and marks as in the operator."""
+    sql = f"regexp_replace(lower(coalesce({column}, '')), '{COPYRIGHT_LINE}', '\\1', 'g')"
+    for pattern, standard in SPELLINGS:
+        sql = f"regexp_replace({sql}, '{pattern}', '{standard}', 'g')"
+    return f"regexp_replace({sql}, '{MARKS}', ' ', 'g')"
+
+
+def _one_line(sql):
+    return f"trim(regexp_replace({sql}, '[ \\n]+', ' ', 'g'))"
+
+
+def _licenses():
+    known = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN
+    )
+    return f"""
+WITH known AS (
+  SELECT sha256({_one_line(_canonical("text"))}) AS digest, min(license) AS license
+  FROM (VALUES {known}) AS k(license, text) GROUP BY 1
+), canon AS (
+  SELECT doc_id, {_canonical("text")} AS canon, row_number() OVER () AS r FROM documents
+), whole AS (
+  SELECT doc_id, r, sha256({_one_line("canon")}) AS digest FROM canon
+), lines AS (
+  SELECT r, trim(unnest(string_split(canon, chr(10)))) AS line FROM canon
+), notices AS (
+  SELECT r, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
+  FROM lines JOIN known ON sha256(line) = digest WHERE line <> '' GROUP BY r
+)
+SELECT doc_id, w.digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
+FROM whole w LEFT JOIN known k ON w.digest = k.digest LEFT JOIN notices USING (r)
+"""
+
+
+ORACLES = {"op1_mix": _MIX, "op3_licenses": _licenses()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, caps, fingerprints, lines, mixing, quality, repeats, secrets, simhash
+from daystar.llm import bpe, caps, fingerprints, licenses, lines, mixing, quality, repeats, secrets, simhash
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,6 +19,10 @@ def op2_repeats(spark, sf_dir):
     return repeats.report(repeats.deduplicated(table(spark, sf_dir, "documents")))
 
 
+def op3_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
 def op4_caps(spark, sf_dir):
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -51,6 +55,7 @@ def op10_secrets(spark, sf_dir):
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_repeats": op2_repeats,
+    "op3_licenses": op3_licenses,
     "op4_caps": op4_caps,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,

@@ -3,9 +3,9 @@
 A series is all rows with the same key, in the order of `order_by`. One window
 per series is the natural plan, and the one used for ordinary series. A window
 sorts each series in a single task, though, so a series that holds a large share
-of all rows is cut along its first order column into pieces of about `hot_rows`
-rows. Each piece carries a copy of the few rows before it, which makes every
-result equal to that of the one large window.
+of all rows is cut along its order into pieces of about `hot_rows` rows. Each piece
+carries a copy of the few rows before it, which makes every result equal to that
+of the one large window.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Rows of one series that a single task may sort.
 HOT_ROWS = 5_000_000
-# Most series to cut. The next smaller one holds at most one row in 10,001 of the
-# whole input, so leaving it in one task is safe, and the list stays broadcastable.
-HOT_SERIES = 10_000
+# Rows of a piece that may become boundaries, about; more make pieces more even.
+_MARKS_PER_PIECE = 64
+# Boundaries that a row is compared with at once.
+_BOUNDS_PER_GROUP = 256
 
-_PIECE, _COPY, _LOW, _WIDTH = "__piece", "__copy", "__low", "__width"
+_PIECE, _COPY, _BOUNDS = "__piece", "__copy", "__bounds"
 _WHOLE = -1
 
 
@@ -104,7 +104,7 @@ def over_series(df, keys, order_by, build, lookback, hot_rows=HOT_ROWS):
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order_by)))
 
     columns = df.columns
-    pieces = _cut(df, columns, keys, order_by[0], hot_rows)
+    pieces = _cut(df, columns, keys, order_by, hot_rows)
     copies = _rows_before_pieces(pieces, columns, keys, order_by, lookback)
     built = build(Window.partitionBy(*keys, _PIECE).orderBy(*order_by))
     kept = [name for name in columns if name not in built]
@@ -116,40 +116,66 @@ def over_series(df, keys, order_by, build, lookback, hot_rows=HOT_ROWS):
     )
 
 
-def _cut(df, columns, keys, axis, hot_rows):
-    """Tag rows with their piece; series within `hot_rows` stay whole."""
-    position = _position(axis, df.schema[axis].dataType)
-    count, high = "__count", "__high"
+def _cut(df, columns, keys, order_by, hot_rows):
+    """Tag rows with their piece; series within `hot_rows` stay whole.
+
+    Boundaries are rows of the series itself, compared by all order columns, so pieces are
+    even whatever the values look like. Which rows may become boundaries is decided by a
+    hash of the row: that chooses where to cut, never what is answered.
+    """
+    count, place = "__count", "__place"
     hot = (
         df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias(count),
-            F.min(position).alias(_LOW),
-            F.max(position).alias(high),
-        )
+        .agg(F.count(F.lit(1)).alias(count))
         .where(F.col(count) > hot_rows)
-        .orderBy(F.desc(count), *keys)
-        .limit(HOT_SERIES)
-        .select(
-            *[F.col(key).alias(f"__{key}") for key in keys],
-            _LOW,
-            ((F.col(high) - F.col(_LOW) + 1) / F.ceil(F.col(count) / hot_rows)).alias(_WIDTH),
-        )
+        .select(*[F.col(key).alias(f"__{key}") for key in keys])
     )
     same_key = reduce(
         lambda left, right: left & right,
         [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys],
     )
-    # A missing position sorts first, as it does in the window.
-    piece = F.coalesce(F.floor((position - F.col(_LOW)) / F.col(_WIDTH)) + 1, F.lit(0))
-    # At most HOT_SERIES rows are broadcast, by the limit above.
-    return df.join(F.broadcast(hot), same_key, "left").select(
-        *columns,
-        F.when(F.col(_WIDTH).isNull(), F.lit(_WHOLE)).otherwise(piece).alias(_PIECE),
-        F.lit(False).alias(_COPY),
+    every = max(hot_rows // _MARKS_PER_PIECE, 1)
+    marks = (
+        df.where(F.pmod(F.xxhash64(*_hashable(df)), F.lit(every)) == 0)
+        .join(hot, same_key, "left_semi")
+        .select(*keys, F.struct(*order_by).alias(place))
+    )
+    in_series = Window.partitionBy(*keys).orderBy(place)
+    per_piece = max(hot_rows // every, 1)
+    rank = "__rank"
+    bounds = (
+        marks.withColumn(rank, F.row_number().over(in_series))
+        .where(F.col(rank) % per_piece == 0)
+        # Two levels, so that a row finds its piece among the many of a very long series.
+        .groupBy(*keys, F.floor(F.col(rank) / (per_piece * _BOUNDS_PER_GROUP)).alias(count))
+        .agg(F.array_sort(F.collect_set(place)).alias(place))
+        .select(*keys, F.struct(F.element_at(place, 1).alias("first"), F.col(place).alias("all")).alias(place))
+        .groupBy(*[F.col(key).alias(f"__{key}") for key in keys])
+        .agg(F.array_sort(F.collect_list(place)).alias(_BOUNDS))
+    )
+    at = F.struct(*order_by)
+    group = F.size(F.filter(F.col(_BOUNDS), lambda bound: bound["first"] <= at))
+    tagged = df.join(bounds, same_key, "left").select(
+        *columns, _BOUNDS, F.when(F.col(_BOUNDS).isNotNull(), group).alias(place)
+    )
+    within = F.size(
+        F.filter(F.get(F.col(_BOUNDS), F.col(place) - 1)["all"], lambda bound: bound <= at)
+    )
+    piece = (
+        F.when(F.col(_BOUNDS).isNull(), F.lit(_WHOLE))
+        .when(F.col(place) == 0, F.lit(0))
+        .otherwise((F.col(place) - 1) * F.lit(_BOUNDS_PER_GROUP + 1) + within)
+    )
+    return tagged.select(
+        *columns, piece.cast("long").alias(_PIECE), F.lit(False).alias(_COPY)
     )
 
 
+def _hashable(df):
+    """Columns that a row's hash can be taken of: all but those that hold maps."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def _rows_before_pieces(pieces, columns, keys, order_by, lookback):
     """Copies of the `lookback` rows that come before each piece of a cut series."""
     rank, before, follows = "__rank", "__before", "__follows"
@@ -171,38 +197,3 @@ def _rows_before_pieces(pieces, columns, keys, order_by, lookback):
         .select(_PIECE, F.explode(before).alias(before))
         .select(f"{before}.*", _PIECE, F.lit(True).alias(_COPY))
     )
-
-
-def _position(name, data_type):
-    """A number that never falls as the column rises, to cut a series along."""
-    column = F.col(name)
-    if isinstance(data_type, T.DateType):
-        number = F.unix_date(column)
-    elif isinstance(data_type, T.TimestampType):
-        number = F.unix_micros(column)
-    elif isinstance(data_type, T.TimestampNTZType):
-        number = (
-            F.unix_date(column.cast("date")) * F.lit(86400)
-            + F.hour(column) * 3600
-            + F.minute(column) * 60
-            + F.second(column)
-        )
-    elif isinstance(data_type, T.StringType):
-        number = _text_position(column)
-    elif isinstance(data_type, (T.IntegralType, T.DecimalType)):
-        number = column
-    else:
-        raise TypeError(f"cannot cut a series along {name} of type {data_type.simpleString()}")
-    return number.cast("double")
-
-
-def _text_position(column):
-    """The eight leading digits of text such as `20200501`, in text order.
-
-    Where fewer digits lead, what follows decides whether the text sorts before
-    (end of text, or a character below the digits) or after all longer ones.
-    """
-    digits = F.regexp_extract(column, "^[0-9]{0,8}", 0)
-    beyond = F.substring(column, F.length(digits) + 1, F.lit(1)) > "9"
-    filled = F.when(beyond, F.rpad(digits, 8, "9")).otherwise(F.rpad(digits, 8, "0"))
-    return filled.cast("bigint")

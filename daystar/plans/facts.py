@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from daystar.contracts import FACT_CASES, FACT_FEED, FACT_TESTING
 from daystar.functions import date_key, percent, ratio
-from daystar.operators.lookups import attach_region_by_code, require
+from daystar.operators.lookups import attach_region_by_code
 from daystar.operators.series import HOT_ROWS, daily_delta
 
 
 def cases(silver, clamp=True, text_key=False, hot_rows=HOT_ROWS):
-    """Cases fact. Rows without a region are dropped: they belong to no one series."""
+    """Cases fact, one row per row of `silver`.
+
+    Rows without a code are kept. Where silver carries the name too, each name without a
+    code is a series of its own; without names they are one series.
+    """
     suffix = "" if text_key else "_cum"
     columns = {"new_cases": f"cases{suffix}", "new_deaths": f"deaths{suffix}"}
     fact = _with_deltas(silver, columns, clamp, text_key, hot_rows)
@@ -42,7 +46,11 @@ def denormalised(feed, regions):
 
 
 def _with_deltas(silver, columns, clamp, text_key, hot_rows):
-    order = "date_id" if text_key else "full_date"
-    known = require(silver, ["state_code"])
-    fact = daily_delta(known, columns, ["state_code"], [order], clamp, hot_rows)
+    keys = [name for name in ("state_code", "state_name") if name in silver.columns]
+    if not text_key:
+        # A typed row always has a code, and its name follows from it.
+        keys = ["state_code"]
+    # Repeated dates come in the order of their counters, so reruns agree.
+    order = ["date_id" if text_key else "full_date", *dict.fromkeys(columns.values())]
+    fact = daily_delta(silver, columns, keys, order, clamp, hot_rows)
     return fact if text_key else fact.withColumn("date_id", date_key("full_date"))

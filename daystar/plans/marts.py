@@ -7,23 +7,24 @@ lazy DataFrame.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from daystar.functions import compact_date, date_label, iso_date, ratio
 from daystar.operators.lookups import attach_region_by_code, pick_regions
 from daystar.operators.series import HOT_ROWS, first_n, moving_avg
 
-# Fixed value: rows of a region that a trend shows.
+# Fixed value: rows of a region that a dashboard page shows; no trend is cut unless asked.
 TREND_ROWS = 500
 
 
 def trends(
-    fact, lookup, measures, averaged, names=None, regions=None, limit=TREND_ROWS, hot_rows=HOT_ROWS
+    fact, lookup, measures, averaged, names=None, regions=None, limit=None, hot_rows=HOT_ROWS
 ):
     """Measures per region and day, with 7-row averages of the `averaged` ones.
 
-    `names` or `regions` (codes) pick regions; all of the lookup by default. Only
-    the first `limit` rows of a region count, in date order; averages are taken
-    over those. `limit=None` takes all rows.
+    `names` or `regions` (codes) pick regions; all of the lookup by default. With a
+    `limit` only the first rows of a region count, in date order, and averages are
+    taken over those. Names that share a code each have the code's series.
     """
     picks = pick_regions(lookup, names)
     if regions is not None:
@@ -43,12 +44,11 @@ def testing_trend(fact, lookup, names=None, **options):
     return trends(fact, lookup, measures, measures, names, **options)
 
 
-def combined(cases, tests, lookup, names=None, limit=TREND_ROWS, hot_rows=HOT_ROWS):
+def combined(cases, tests, lookup, names=None, limit=None, hot_rows=HOT_ROWS):
     """Cases trend and testing trend of the regions that have rows in both facts."""
     picks = pick_regions(lookup, names)
     for fact in (cases, tests):
-        codes = resolve_regions(fact.select("state_code"), lookup, names)
-        picks = picks.join(codes.select("state_code").distinct(), "state_code", "left_semi")
+        picks = picks.join(fact.select("state_code").distinct(), "state_code", "left_semi")
     shared = {"limit": limit, "hot_rows": hot_rows, "bounded": names is not None}
     rates = ["new_tests", "positivity_rate"]
     return (
@@ -71,8 +71,9 @@ def filter_regions(fact, regions):
 
 
 def filter_date(fact, date_id):
-    """Rows of one date; a text key must look like `20200501` and is read as a number."""
-    return fact.where(F.col("date_id") == int(date_id))
+    """Rows of one date. A text key is compared as text, so any text may be among its values."""
+    text = isinstance(fact.schema["date_id"].dataType, StringType)
+    return fact.where(F.col("date_id") == F.lit(str(date_id) if text else int(date_id)))
 
 
 def top_n_on_date(fact, lookup, date_id, metric="new_cases", n=5):
@@ -130,7 +131,8 @@ def top_regions_total(fact, n=10, mode="latest", name="state_name", value="cases
     """
     if mode == "latest":
         known = fact.where(F.col(value).isNotNull())
-        total = F.max_by(value, iso_date(date))
+        # Of several rows on the latest date the highest value counts.
+        total = F.max_by(value, F.struct(iso_date(date), F.col(value)))
     elif mode == "sum_cumulative":
         known, total = fact, F.coalesce(F.sum(value), F.lit(0))
     else:
@@ -164,7 +166,7 @@ def _of_regions(fact, picks, bounded):
 
 def _trend(fact, picks, measures, averaged, limit, hot_rows, bounded):
     rows = _of_regions(fact.select("date_id", "state_code", *measures), picks, bounded)
-    key, order = ["state_code"], ["date_id"]
+    key, order = ["state_code", "state_name"], ["date_id"]
     if limit is not None:
         rows = first_n(rows, key, order, limit)
         # What is left of a series is known to be short.

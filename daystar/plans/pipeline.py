@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 
 from daystar import contracts
+from daystar.operators import quality
 from daystar.operators.lookups import region_lookup
 from daystar.plans import dims, facts, publish, silver
 from daystar.session import build_session
@@ -32,25 +33,68 @@ _GOLD = {
     "fact_cases_state_daily": (contracts.FACT_CASES, FACT_PARTITIONS),
     "fact_testing_state_daily": (contracts.FACT_TESTING, FACT_PARTITIONS),
 }
+GOLD_TABLES = tuple(_GOLD)
 _SILVER = {
     "cases_standardized": contracts.SILVER_CASES,
     "testing_standardized": contracts.SILVER_TESTS,
 }
 
 
-def run(spark, base, silver_partitions=SILVER_PARTITIONS, prefix="daystar", register=True):
+def run(
+    spark,
+    base,
+    silver_partitions=SILVER_PARTITIONS,
+    prefix="daystar",
+    register=True,
+    on_fault="report",
+):
     """Build silver and gold below `base` and register them; returns the gold tables.
 
     Coarser `silver_partitions`, such as region and year, suit feeds with few rows
-    per region and day.
+    per region and day. The star is checked before anything is registered: faults are
+    printed, or end the job under `on_fault="fail"`; `None` skips the checks.
     """
     build_silver(spark, base, silver_partitions)
     build_gold(spark, base)
+    if on_fault is not None:
+        _tell(faults(gold_tables(spark, base)), on_fault)
     if register:
         register_tables(spark, base, silver_partitions, prefix)
     return gold_tables(spark, base)
 
 
+def run_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
+    """The job with text date keys, signed changes and percentages; returns its gold tables."""
+    build_silver_text_key(spark, base, partition_by)
+    build_gold_text_key(spark, base)
+    return {name: read_parquet(spark, f"{base}/gold/{name}") for name in _GOLD}
+
+
+def faults(gold):
+    """Number of faulty rows by check of a star: missing keys, repeated keys, orphans."""
+    found = {}
+    for name, key in [
+        ("dim_date", ["date_id"]),
+        ("dim_state", ["state_code"]),
+        ("fact_cases_state_daily", ["date_id", "state_code"]),
+        ("fact_testing_state_daily", ["date_id", "state_code"]),
+    ]:
+        found[f"{name}: missing key"] = quality.null_violations(gold[name], key).count()
+        found[f"{name}: repeated key"] = quality.duplicate_keys(gold[name], key).count()
+        if name.startswith("fact_"):
+            lost = quality.orphans(gold[name], gold["dim_date"], "date_id")
+            found[f"{name}: date not in dim_date"] = lost.count()
+    return found
+
+
+def _tell(found, on_fault):
+    bad = {check: rows for check, rows in found.items() if rows}
+    if bad and on_fault == "fail":
+        raise ValueError(f"faults in the star: {bad}")
+    for check, rows in bad.items():
+        print(f"{check}: {rows}")
+
+
 def build_silver(spark, base, partition_by=SILVER_PARTITIONS):
     lookup = region_lookup(_bronze(spark, base, "static"))
     cases = silver.standardize_cases(_bronze(spark, base, "cases"), lookup)
@@ -60,10 +104,15 @@ def build_silver(spark, base, partition_by=SILVER_PARTITIONS):
 
 
 def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
-    """Silver with text date keys; regions without a code are kept, names must match exactly."""
+    """Silver with text date keys; regions without a code are kept, with the name they came by."""
     lookup = _bronze(spark, base, "static").selectExpr("abbr AS state_code", "name AS state_name")
     cases = silver.standardize_cases(
-        _bronze(spark, base, "cases"), lookup, keep_unmatched=True, text_key=True, match="exact"
+        _bronze(spark, base, "cases"),
+        lookup,
+        keep_unmatched=True,
+        text_key=True,
+        match="exact",
+        keep_name=True,
     )
     tests = silver.standardize_tests(_bronze(spark, base, "tests"), text_key=True)
     write_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
@@ -87,7 +136,7 @@ def build_gold(spark, base):
 def build_gold_text_key(spark, base):
     """Gold of text-keyed silver: ordered dimensions, signed changes, rounded percentages."""
     cases = read_parquet(
-        spark, f"{base}/silver/cases_standardized", contracts.SILVER_CASES_TEXT_KEY
+        spark, f"{base}/silver/cases_standardized", silver.NAMED_CASES_TEXT_KEY
     )
     tests = read_parquet(
         spark, f"{base}/silver/testing_standardized", contracts.SILVER_TESTS_TEXT_KEY
@@ -169,6 +218,8 @@ def publish_star(spark, base, contract=None):
         narrowed = publish.narrow(table, contract[name])
         if name.startswith("fact_"):
             narrowed = publish.layout(narrowed)
+        elif name == "dim_date":
+            narrowed = narrowed.orderBy("date_id")
         write_parquet(narrowed, f"{base}/published/{name}")
 
 
@@ -180,9 +231,24 @@ def main(arguments=None):
     parser = argparse.ArgumentParser(description="Bronze to silver to gold.")
     parser.add_argument("--base", required=True, help="folder that holds bronze/")
     parser.add_argument("--prefix", default="daystar", help="prefix of the databases")
+    parser.add_argument("--text-key", action="store_true", help="text date keys, signed changes")
+    parser.add_argument("--publish", action="store_true", help="also write published/")
+    parser.add_argument("--fail-on-fault", action="store_true", help="end when a check fails")
+    parser.add_argument(
+        "--catalog", choices=["in-memory", "hive"], default="in-memory", help="where tables live"
+    )
     options = parser.parse_args(arguments)
-    spark = build_session("daystar-pipeline")
-    run(spark, options.base, prefix=options.prefix)
+    settings = {"spark.sql.catalogImplementation": options.catalog}
+    spark = build_session("daystar-pipeline", settings=settings)
+    if options.text_key:
+        run_text_key(spark, options.base)
+    else:
+        on_fault = "fail" if options.fail_on_fault else "report"
+        run(spark, options.base, prefix=options.prefix, on_fault=on_fault)
+        if options.publish:
+            publish_star(spark, options.base)
+        if options.catalog == "in-memory":
+            print("Tables are registered in this session only; use --catalog hive to keep them.")
     spark.stop()
 
 

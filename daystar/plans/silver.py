@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from daystar.contracts import (
     SILVER_CASES,
     SILVER_CASES_TEXT_KEY,
@@ -22,12 +24,20 @@ from daystar.functions import (
 from daystar.functions.columns import as_column
 from daystar.operators.lookups import attach_region_by_code, attach_region_by_name, require
 
+# Text-keyed cases with the name that the feed gives.
+NAMED_CASES_TEXT_KEY = StructType(
+    [*SILVER_CASES_TEXT_KEY.fields, StructField("state_name", StringType())]
+)
+
 
-def standardize_cases(raw, lookup, keep_unmatched=False, text_key=False, match="initcap"):
+def standardize_cases(
+    raw, lookup, keep_unmatched=False, text_key=False, match="initcap", keep_name=False
+):
     """Typed cases, with the region found by name.
 
     Regions missing from the lookup are dropped, or kept without a code under
-    `keep_unmatched`. `text_key` keeps the date as `yyyyMMdd` text.
+    `keep_unmatched`. `text_key` keeps the date as `yyyyMMdd` text, and with
+    `keep_name` the name as it came, which tells regions without a code apart.
     """
     attached = attach_region_by_name(raw, lookup, match=match)
     if text_key:
@@ -55,6 +65,8 @@ def standardize_cases(raw, lookup, keep_unmatched=False, text_key=False, match="
         required = [] if text_key else required
     else:
         required = [*required, "state_code"]
+    if text_key and keep_name:
+        typed, contract = typed.withColumn("state_name", as_column("state")), NAMED_CASES_TEXT_KEY
     return _shaped(typed, contract, required)
 
 

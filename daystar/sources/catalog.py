@@ -18,9 +18,10 @@ def ensure_databases(spark, prefix="daystar", location=None):
 
 
 def register_csv(spark, name, schema, path):
-    """Table over a CSV folder: columns by position, header line skipped. Keeps an existing one."""
+    """Table over a CSV folder, in place of an earlier one: columns by position, header skipped."""
+    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(name)} ({_columns(schema)}) USING CSV"
+        f"CREATE TABLE {_name(name)} ({_columns(schema)}) USING CSV"
         f" OPTIONS (header 'true', sep ',') LOCATION {_text(path)}"
     )
 

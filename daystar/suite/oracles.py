@@ -42,9 +42,9 @@ def _delta(column, clamp, order="full_date", key="state_code"):
     return f"greatest({step}, 0)" if clamp else f"coalesce({step}, 0)"
 
 
-def _average(column):
+def _average(column, key="state_code"):
     """Mean of seven rows, added up oldest first; NULL if one is missing."""
-    over = "OVER (PARTITION BY state_code ORDER BY date_id)"
+    over = f"OVER (PARTITION BY {key} ORDER BY date_id)"
     rows = [f"lag({column}, {back}) {over}" for back in range(6, 0, -1)] + [column]
     return f"cast({' + '.join(rows)} AS double) / 7 AS {column}_7day"
 
@@ -115,6 +115,11 @@ _TABLES = {
                {_text_parts("replace(date, '-', '')")}
         FROM cases LEFT JOIN lookup ON upper(state) = name
     """,
+    "silver_cases_named": """
+        SELECT replace(date, '-', '') AS date_id, abbr AS state_code, upper(state) AS state_name,
+               cast(cases AS bigint) AS cases, cast(deaths AS bigint) AS deaths
+        FROM cases LEFT JOIN lookup ON upper(state) = name
+    """,
     "silver_tests": f"""
         SELECT full_date, code AS state_code, state_name, tests_total_cum, tests_pos_cum,
                tests_neg_cum, {_parts("full_date")}
@@ -351,9 +356,9 @@ _SELECTS = {
     "fact_cases": "SELECT * FROM fact_cases",
     "fact_cases_signed": f"""
         SELECT date_id, state_code, cases, deaths,
-               {_delta("cases", False, "date_id")} AS new_cases,
-               {_delta("deaths", False, "date_id")} AS new_deaths
-        FROM silver_cases_text WHERE state_code IS NOT NULL
+               {_delta("cases", False, "date_id", "state_code, state_name")} AS new_cases,
+               {_delta("deaths", False, "date_id", "state_code, state_name")} AS new_deaths
+        FROM silver_cases_named
     """,
     "fact_testing": "SELECT * FROM fact_tests",
     "fact_testing_percent": f"""
@@ -368,7 +373,7 @@ _SELECTS = {
     "cases_trend": f"""
         SELECT {_LABEL} AS date, state_code, state_name, new_cases, new_deaths,
                {_average("new_cases")}, {_average("new_deaths")}
-        FROM first_cases JOIN clean_lookup USING (state_code)
+        FROM fact_cases JOIN clean_lookup USING (state_code)
     """,
     "cases_trend_unlimited": f"""
         SELECT {_LABEL} AS date, state_code, state_name, new_cases, new_deaths,
@@ -378,20 +383,35 @@ _SELECTS = {
     "testing_trend": f"""
         SELECT {_LABEL} AS date, state_code, state_name, new_tests, positivity_rate,
                {_average("new_tests")}, {_average("positivity_rate")}
-        FROM first_tests JOIN clean_lookup USING (state_code) WHERE state_name IN ({_NAMES})
+        FROM fact_tests JOIN clean_lookup USING (state_code) WHERE state_name IN ({_NAMES})
     """,
     "combined_cases": f"""
         SELECT {_LABEL} AS date, state_code, state_name, new_cases, new_deaths,
                {_average("new_cases")}
-        FROM first_cases JOIN clean_lookup USING (state_code)
+        FROM fact_cases JOIN clean_lookup USING (state_code)
         WHERE state_name IN ({_NAMES}) AND state_code IN (SELECT state_code FROM fact_tests)
     """,
     "combined_tests": f"""
         SELECT {_LABEL} AS date, state_code, state_name, new_tests, positivity_rate,
                {_average("new_tests")}, {_average("positivity_rate")}
-        FROM first_tests JOIN clean_lookup USING (state_code)
+        FROM fact_tests JOIN clean_lookup USING (state_code)
         WHERE state_code IN (SELECT state_code FROM fact_cases)
     """,
+    "cases_trend_limited": f"""
+        SELECT {_LABEL} AS date, state_code, state_name, new_cases, new_deaths,
+               {_average("new_cases")}, {_average("new_deaths")}
+        FROM first_cases JOIN clean_lookup USING (state_code)
+    """,
+    "testing_trend_limited": f"""
+        SELECT {_LABEL} AS date, state_code, state_name, new_tests, positivity_rate,
+               {_average("new_tests")}, {_average("positivity_rate")}
+        FROM first_tests JOIN clean_lookup USING (state_code) WHERE state_name IN ({_NAMES})
+    """,
+    "cases_trend_shared_code": f"""
+        SELECT {_LABEL} AS date, state_code, state_name || suffix AS state_name, new_cases, new_deaths,
+               {_average("new_cases", "state_code, suffix")}, {_average("new_deaths", "state_code, suffix")}
+        FROM fact_cases JOIN clean_lookup USING (state_code), (VALUES (''), (' State')) AS s(suffix)
+    """,
     "top_new_cases_on_date": f"""
         SELECT state_code, state_name, new_cases
         FROM fact_cases JOIN clean_lookup USING (state_code) WHERE date_id = {DATE_ID}
@@ -426,6 +446,50 @@ _SELECTS = {
         WHERE {_initcap("state")} NOT IN (SELECT state_name FROM clean_lookup) GROUP BY state
     """,
     "pipeline_star": "SELECT * FROM fact_tests",
+    "pipeline_text_key": f"""
+        SELECT date_id, state_code, cases, deaths,
+               {_delta("cases", False, "date_id", "state_code, state_name")} AS new_cases,
+               {_delta("deaths", False, "date_id", "state_code, state_name")} AS new_deaths
+        FROM silver_cases_named
+    """,
+    "star_faults": """
+        SELECT * FROM (WITH dim_state AS (SELECT DISTINCT state_code, state_name FROM silver_cases),
+        tables AS (
+            SELECT 'dim_date' AS name, date_id, NULL AS state_code FROM dim_date
+            UNION ALL SELECT 'dim_state', NULL, state_code FROM dim_state
+            UNION ALL SELECT 'fact_cases_state_daily', date_id, state_code FROM fact_cases
+            UNION ALL SELECT 'fact_testing_state_daily', date_id, state_code FROM fact_tests
+        )
+        SELECT name || ': missing key' AS "check",
+               count(CASE WHEN (name <> 'dim_state' AND date_id IS NULL)
+                            OR (name <> 'dim_date' AND state_code IS NULL) THEN 1 END) AS "rows"
+        FROM tables GROUP BY name
+        UNION ALL
+        SELECT name || ': repeated key', count(CASE WHEN n > 1 THEN 1 END)
+        FROM (SELECT name, date_id, state_code, count(*) AS n FROM tables GROUP BY 1, 2, 3)
+        GROUP BY name
+        UNION ALL
+        SELECT name || ': date not in dim_date',
+               count(CASE WHEN date_id NOT IN (SELECT date_id FROM dim_date) THEN 1 END)
+        FROM tables WHERE name LIKE 'fact%' GROUP BY name)
+    """,
+    "emptiness": """
+        SELECT (SELECT count(*) FROM fact_cases) > 0 AND (SELECT count(*) FROM fact_tests) > 0
+                   AS both_present,
+               (SELECT count(*) FROM fact_cases WHERE state_code = 'no such region') = 0
+                   AS none_is_empty
+    """,
+    "filter_date_text_key": f"SELECT * FROM silver_cases_text WHERE date_id = '{DATE_ID}'",
+    "daily_delta_cut_dashed_text": """
+        SELECT cast(full_date AS varchar) AS day, state_code AS state, n,
+               coalesce(n - lag(n) OVER (PARTITION BY state_code ORDER BY full_date), 0) AS delta
+        FROM dense
+    """,
+    "pipeline_published": """
+        SELECT date_id, state_code, cases_cum, deaths_cum, new_cases::integer AS new_cases,
+               new_deaths::integer AS new_deaths
+        FROM fact_cases
+    """,
     "pipeline_feed": "SELECT * FROM fact_feed",
 }
 

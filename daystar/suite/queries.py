@@ -56,13 +56,14 @@ def _silver_tests(spark, sf):
     return silver.standardize_tests(fx.tests(spark, sf), _lookup(spark, sf))
 
 
-def _silver_cases_text(spark, sf):
+def _silver_cases_text(spark, sf, keep_name=False):
     return silver.standardize_cases(
         _exact_cases(spark, sf),
         _exact_lookup(spark, sf),
         keep_unmatched=True,
         text_key=True,
         match="exact",
+        keep_name=keep_name,
     )
 
 
@@ -585,7 +586,8 @@ def fact_cases(spark, sf):
 
 @query
 def fact_cases_signed(spark, sf):
-    return facts.cases(_silver_cases_text(spark, sf), clamp=False, text_key=True)
+    named = _silver_cases_text(spark, sf, keep_name=True)
+    return facts.cases(named, clamp=False, text_key=True)
 
 
 @query
@@ -622,6 +624,27 @@ def cases_trend_unlimited(spark, sf):
     return marts.cases_trend(_fact_cases(spark, sf), _lookup(spark, sf), limit=None)
 
 
+@query
+def cases_trend_limited(spark, sf):
+    """The first rows of each region only, as a dashboard page shows them."""
+    return marts.cases_trend(_fact_cases(spark, sf), _lookup(spark, sf), limit=marts.TREND_ROWS)
+
+
+@query
+def cases_trend_shared_code(spark, sf):
+    """Two names for one code: each has the whole series of the code."""
+    twice = _lookup(spark, sf).withColumn("state_name", F.concat("state_name", F.lit(" State")))
+    both = _lookup(spark, sf).union(twice)
+    return marts.cases_trend(_fact_cases(spark, sf), both)
+
+
+@query
+def testing_trend_limited(spark, sf):
+    return marts.testing_trend(
+        _fact_tests(spark, sf), _lookup(spark, sf), names=NAMES, limit=marts.TREND_ROWS
+    )
+
+
 @query
 def testing_trend(spark, sf):
     return marts.testing_trend(_fact_tests(spark, sf), _lookup(spark, sf), names=NAMES)
@@ -704,6 +727,55 @@ def unmatched_names(spark, sf):
 # Whole jobs
 
 
+@query
+def pipeline_text_key(spark, sf):
+    """The job with text date keys, silver by year; gives its cases fact."""
+    base = scratch.new_folder(spark, "pipeline")
+    files.write_csv(_exact_cases(spark, sf), f"{base}/bronze/cases")
+    files.write_csv(fx.tests(spark, sf), f"{base}/bronze/tests")
+    files.write_csv(fx.lookup(spark, sf), f"{base}/bronze/static")
+    return pipeline.run_text_key(spark, base, ("year",))["fact_cases_state_daily"]
+
+
+@query
+def pipeline_published(spark, sf):
+    """The published star as stored: the cases fact in its narrowed types."""
+    base = scratch.new_folder(spark, "pipeline")
+    stored.write_bronze(spark, sf, base)
+    pipeline.run(spark, base, ("state_code",), register=False)
+    pipeline.publish_star(spark, base, STAR)
+    return files.read_parquet(spark, f"{base}/published/fact_cases_state_daily")
+
+
+@query
+def star_faults(spark, sf):
+    """Rows by check of the stored star."""
+    gold = {name: stored.gold(spark, sf, name) for name in pipeline.GOLD_TABLES}
+    rows = list(pipeline.faults(gold).items())
+    return spark.createDataFrame(rows, "check string, rows bigint")
+
+
+@query
+def emptiness(spark, sf):
+    """Whether facts of a region have rows, for one that is there and one that is not."""
+    cases, tests = _fact_cases(spark, sf), _fact_tests(spark, sf)
+    none = marts.filter_region(cases, "no such region")
+    row = (quality.both_present(cases, tests), quality.is_empty(none))
+    return spark.createDataFrame([row], "both_present boolean, none_is_empty boolean")
+
+
+@query
+def filter_date_text_key(spark, sf):
+    return marts.filter_date(_silver_cases_text(spark, sf), DATE_ID)
+
+
+@query
+def daily_delta_cut_dashed_text(spark, sf):
+    """Series cut along dates written with dashes, which share their leading digits."""
+    dense = fx.dense(spark, sf).select(F.col("d").cast("string").alias("day"), "state", "n")
+    return series.daily_delta(dense, {"delta": "n"}, ["state"], ["day"], clamp=False, hot_rows=5)
+
+
 @query
 def pipeline_star(spark, sf):
     """Bronze to gold through written tables; gives the testing fact of the catalog."""
@@ -717,10 +789,16 @@ def pipeline_star(spark, sf):
 
 @query
 def pipeline_feed(spark, sf):
-    """Refresh of the tables built from the feed that carries daily changes."""
-    base = scratch.new_folder(spark, "refresh")
-    files.write_csv(fx.feed(spark, sf), f"{base}/feed")
+    """Second refresh of the tables built from the feed that carries daily changes.
+
+    The first one reads another folder, with fewer rows; nothing of it may stay.
+    """
+    base, prefix = scratch.new_folder(spark, "refresh"), _new_prefix()
+    feed = fx.feed(spark, sf)
+    files.write_csv(feed.where(F.col("state") == REGION), f"{base}/earlier")
+    files.write_csv(feed, f"{base}/feed")
     files.write_csv(_regions(spark, sf), f"{base}/regions")
+    pipeline.refresh_feed(spark, f"{base}/earlier", f"{base}/regions", prefix, f"{base}/databases")
     return pipeline.refresh_feed(
-        spark, f"{base}/feed", f"{base}/regions", _new_prefix(), f"{base}/databases"
+        spark, f"{base}/feed", f"{base}/regions", prefix, f"{base}/databases"
     )

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "shared"),
         },
+        partitions=8,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from daystar import contracts
 from daystar.operators import lookups
@@ -113,10 +114,27 @@ def test_facts(raw_cases, raw_tests, states):
 
 def test_regions_without_code_do_not_share_a_series(frame):
     text = frame(
-        "date_id string, state_code string, cases bigint, deaths bigint",
-        ("20200501", None, 5, 0), ("20200502", None, 900, 0), ("20200501", "NY", 1, 0),
+        "date_id string, state_code string, state_name string, cases bigint, deaths bigint",
+        ("20200501", None, "Guam", 5, 0), ("20200502", None, "Guam", 7, 0),
+        ("20200502", None, "Puerto Rico", 900, 0), ("20200501", "NY", "New York", 1, 0),
     )
-    assert rows(facts.cases(text, clamp=False, text_key=True)) == [("20200501", "NY", 1, 0, 0, 0)]
+    found = facts.cases(text, clamp=False, text_key=True).collect()
+    assert sorted((r.date_id, r.state_code or "", r.cases, r.new_cases) for r in found) == [
+        ("20200501", "", 5, 0), ("20200501", "NY", 1, 0), ("20200502", "", 7, 2), ("20200502", "", 900, 0),
+    ]
+
+
+def test_names_that_share_a_code_have_series_of_their_own(frame):
+    fact = frame(
+        "date_id int, state_code string, new_cases bigint, new_deaths bigint",
+        *[(20200501 + day, "NY", 10 * day, 0) for day in range(9)],
+    )
+    lookup = frame("state_code string, state_name string", ("NY", "New York"), ("NY", "New York State"))
+    both = marts.cases_trend(fact, lookup)
+    for name in ("New York", "New York State"):
+        alone = marts.cases_trend(fact, lookup, names=[name])
+        assert rows(both.where(F.col("state_name") == name)) == rows(alone)
+    assert both.count() == 18
 
 
 def test_dims(raw_cases, raw_tests, states, frame):

@@ -17,12 +17,12 @@ from daystar.llm.tables import stored
 
 #: Cells per table of the fingerprint, and how much larger each retry is.
 CELLS = 8
-GROWTH = 8
+GROWTH = 16
 TABLES = 3
 #: Peeling looks at one table after the other, this many times in all.
 TURNS = 12
 # Documents of neighbouring ids that are handed to one window, as a power of two.
-_BLOCK_BITS = 4
+_BLOCK_BITS = 6
 _GROUP_BITS = 10
 #: Paragraphs end at line breaks and, within a line, after a sentence whose next one
 #: starts with A to M, so a long line gives several.
@@ -61,11 +61,11 @@ def followers(ids, levels=2):
 def with_next(docs):
     """id, text and next_text of every document; the last one's next is the first.
 
-    `docs` has unique longs `id`. Neighbours in a block of ids come together by one shuffle;
+    Rows that repeat an id follow each other in the order of their texts. Neighbours in a block of ids come together by one shuffle;
     only the first text of every block is sent a second time, to the block before it.
     """
     blocked = docs.withColumn("block", F.shiftright("id", _BLOCK_BITS))
-    in_block = Window.partitionBy("block").orderBy("id")
+    in_block = Window.partitionBy("block").orderBy("id", "text")
     rows = blocked.select(
         "block",
         "id",
@@ -77,15 +77,16 @@ def with_next(docs):
         blocked.select("block", "id").groupBy("block").agg(F.min("id").alias("head")), "heads"
     )
     after = followers(heads.select(F.col("block").alias("id")))
-    first = heads.agg(F.min("block")).select(F.col("min(block)").alias("first"))
-    following = after.join(first, F.lit(True)).select(
-        F.col("id").alias("of"), F.coalesce("next", "first").alias("block")
+    first = heads.agg(F.min("block")).first()[0]
+    following = after.select(
+        F.col("id").alias("of"), F.coalesce("next", F.lit(first).cast("long")).alias("block")
     )
     borrowed = (
         heads.join(following, "block")
         .select("of", F.col("head").alias("id"))
         .join(docs, "id")
-        .select(F.col("of").alias("block"), F.col("text").alias("borrowed"))
+        .groupBy(F.col("of").alias("block"))
+        .agg(F.min("text").alias("borrowed"))
     )
     return rows.join(borrowed, "block", "left").select(
         "id", "text", F.when(F.col("last"), F.col("borrowed")).otherwise(F.col("next_text")).alias("next_text")
@@ -93,7 +94,10 @@ def with_next(docs):
 
 
 def versions(docs):
-    """id, n_chars, edited_sha256 and the digests of the text, its edited form and the next text."""
+    """doc, n_chars, edited_sha256 and the digests of the text, its edited form and the next text.
+
+    `id` is a number of the row, since ids of documents may repeat.
+    """
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     rows = with_next(docs).withColumn("n_chars", F.length("text"))
     edited = F.concat(
@@ -103,7 +107,8 @@ def versions(docs):
     return rows.select(
         "id", "n_chars", edited.alias("edited"), digests("text").alias("own"), digests("next_text").alias("after")
     ).select(
-        "id",
+        F.monotonically_increasing_id().alias("id"),
+        F.col("id").alias("doc"),
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "own",
@@ -201,20 +206,23 @@ def _peeled(cells, size, *keys):
     return cells
 
 
-def differences(pairs, cells=CELLS):
+def differences(pairs, cells=CELLS, by_id=None):
     """id, pair, left and right: how many digests only one of the two sides has.
 
     `pairs` has id, pair and the arrays `x` and `y`. Sketches of x and y are subtracted and
     peeled; pairs that do not come out empty are sketched again in tables GROWTH times as
-    large, until every pair has. Two equal sides leave nothing to peel.
+    large, until every pair has. Two equal sides leave nothing to peel. `by_id` gives the
+    same rows where they are hash-partitioned by id already.
     """
-    solved = None
+    # One shuffle by id; sketching, subtracting and peeling keep to it.
+    sides = pairs.repartition("id") if by_id is None else by_id
+    pairs, solved = sides, None
     while True:
-        # One shuffle by id; sketching, subtracting and peeling keep to it.
-        rows = pairs.repartition("id")
-        signed = rows.select(
-            "id", "pair", F.explode("x").alias("digest"), F.lit(1).alias("sign")
-        ).union(rows.select("id", "pair", F.explode("y").alias("digest"), F.lit(-1).alias("sign")))
+        signed = pairs.select(
+            "id",
+            "pair",
+            F.explode(F.concat(_signed("x", 1), _signed("y", -1))).alias("d"),
+        ).select("id", "pair", "d.*")
         diff = _into_cells(signed, cells, "id", "pair").where(
             "n <> 0 or digest <> 0 or check <> 0"
         )
@@ -233,21 +241,29 @@ def differences(pairs, cells=CELLS):
         )
         done = result.where(~F.col("stuck")).drop("stuck")
         solved = done if solved is None else solved.union(done)
-        stuck = result.where("stuck").select("id", "pair")
+        stuck = result.where("stuck").groupBy("id").agg(F.collect_set("pair").alias("stuck"))
         if stuck.isEmpty():
             return solved
-        pairs = stored(pairs.join(stuck, ["id", "pair"]), "stuck-pairs")
+        # By id, as the data lies; the digests are read again from where they are stored.
+        left = sides.join(stuck, "id").where(F.array_contains("stuck", F.col("pair")))
+        pairs = left.select("id", "pair", "x", "y")
         cells *= GROWTH
 
 
+def _signed(side, sign):
+    return F.transform(
+        side, lambda d: F.struct(d.alias("digest"), F.lit(sign).cast("long").alias("sign"))
+    )
+
+
 def compare(docs):
     """doc_id, n_chars, edited_sha256, the two fingerprints and their likenesses.
 
     Likeness of two sketches: shared digests, twice, to the digests of both sides; 1 where
     neither has any. It follows from the numbers of digests and of recovered differences.
-    Null texts count as empty. A null doc_id comes last, as the greatest id; rows that
-    repeat an id are one document, whose text is the greatest of theirs. An empty table
-    gives no rows; a single document is its own next one.
+    Null texts count as empty. A null doc_id comes last, as the greatest id (2^63 - 1 is
+    read as null); rows that repeat an id follow each other in the order of their texts.
+    An empty table gives no rows; a single document is its own next one.
     """
     last = (1 << 63) - 1
     keyed = docs.select(
@@ -255,7 +271,8 @@ def compare(docs):
         F.coalesce("text", F.lit("")).alias("text"),
     )
     table = stored(versions(keyed), "versions")
-    sides = table.select(
+    rows = table.repartition("id")
+    sides = rows.select(
         "id",
         F.explode(
             F.array(
@@ -264,7 +281,7 @@ def compare(docs):
             )
         ).alias("p"),
     ).select("id", "p.*")
-    apart = differences(sides)
+    apart = differences(sides, by_id=sides)
     # Pairs without any digest, and equal ones, have no row.
     differing = apart.groupBy("id").agg(
         *(
@@ -272,7 +289,6 @@ def compare(docs):
             for pair in (1, 2)
         )
     )
-    rows = table.repartition("id")
     prints = fingerprints(
         rows.select(
             "id",
@@ -304,7 +320,7 @@ def compare(docs):
         rows.join(both, "id", "left")
         .join(differing, "id", "left")
         .select(
-            F.when(F.col("id") != last, F.col("id")).cast(kind).alias("doc_id"),
+            F.when(F.col("doc") != last, F.col("doc")).cast(kind).alias("doc_id"),
             "n_chars",
             "edited_sha256",
             F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),

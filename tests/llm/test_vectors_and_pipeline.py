@@ -1,0 +1,109 @@
+"""Vectors against brute force, the pipeline's contract, and the queries that SQL expresses."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from daystar.llm import caps
+from daystar.llm.components import components
+from daystar.llm.oracles import ORACLES
+from daystar.llm.queries import QUERIES
+from tests.compare import connect, mismatch
+
+SF_DIR = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def vectors():
+    """Chains and clusters of near copies, equal and scaled vectors, and unusable ones."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for centre in range(6):
+        base = draw.standard_normal(32)
+        for _ in range(15):
+            rows.append((base + 0.12 * draw.standard_normal(32), centre % 2))
+        rows += [(base, 0), (base, 0), (3 * base, 0), (base, None)]
+    rows = [([float(x) for x in np.float32(v)], label) for v, label in rows]
+    rows += [(None, 0), ([0.0] * 32, 0), ([math.nan] * 32, 0), ([None] * 32, 0), ([math.inf] * 32, 0), ([], 0), ([1.0], 0)]
+    return rows
+
+
+def test_vectors(spark):
+    rows = vectors()
+    df = spark.createDataFrame(
+        [(i, v, label, "x") for i, (v, label) in enumerate(rows)],
+        "vec_id long, embedding array<float>, label int, kept string",
+    )
+    found = {r.vec_id: r for r in caps.near_duplicates(df).collect()}
+    n = len(rows)
+    usable = [
+        v is not None and label is not None and len(v) == 32 and None not in v
+        and all(map(math.isfinite, v)) and any(v)
+        for v, label in rows
+    ]
+    links = np.zeros((n, n), dtype=bool)
+    for i in range(n):
+        for j in range(i):
+            if usable[i] and usable[j] and rows[i][1] == rows[j][1]:
+                a, b = np.array(rows[i][0], dtype=float), np.array(rows[j][0], dtype=float)
+                links[i, j] = links[j, i] = a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.98
+    component = list(range(n))
+    for _ in range(n):
+        component = [min([component[i], *(component[j] for j in np.flatnonzero(links[i]))]) for i in range(n)]
+    assert [found[i].n_links for i in range(n)] == links.sum(axis=1).tolist()
+    assert [found[i].component_id for i in range(n)] == component
+    assert all(found[i].kept == (component[i] == i) for i in range(n))
+    assert caps.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_tiles_cover_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(caps, "TILE", 4)
+    monkeypatch.setattr(caps, "PIECE", 4)
+    base = np.random.default_rng(1).standard_normal(16)
+    rows = [(i, [float(x) for x in base + 1e-3 * i], 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = caps.near_duplicates(df).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(29, 0)}
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7), (None, 3)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    found = {r.node: r.component for r in components(df).collect()}
+    assert found == {i: 0 for i in range(1, 41)} | {100: 90, 95: 90}
+    assert components(df.limit(0)).count() == 0
+
+
+@needs_tables
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_against_sql(spark, name):
+    with connect(SF_DIR) as connection:
+        assert mismatch(QUERIES[name](spark, SF_DIR), connection, ORACLES[name]) is None
+
+
+@needs_tables
+def test_pipeline(spark):
+    """Each stage's rows follow from its own input; the last is what run returns."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert len(corpus_pipeline.STAGES) == 5
+    before = docs
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        after = corpus_pipeline.stored(stage(spark, before, SF_DIR), "stage")
+        assert after.count() > 0
+        if number < 4:
+            assert after.dtypes == docs.dtypes
+            before = after
+    whole = {tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect()}
+    assert whole == {tuple(r) for r in after.collect()}
+
+
+@needs_tables
+def test_stages_on_nothing(spark):
+    nothing = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, SF_DIR).count() == 0

@@ -2,7 +2,7 @@
 
 Two order-1 character models, one of random strings and one of ordinary words and
 identifiers, are trained on labelled samples: what the fixed patterns find is random,
-every other run of token characters is ordinary. A long run that no pattern covers is
+every shorter run of token characters is ordinary. A long run that no pattern covers is
 a further span when the log-likelihood ratio of the two models says so.
 """
 
@@ -34,7 +34,10 @@ TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(TOKEN) + 1
 _STATE = np.zeros(128, dtype=np.int64)
 _STATE[[ord(c) for c in TOKEN]] = np.arange(1, STATES)
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: Runs of token characters from this length on are candidates and teach neither model.
+LEAST = 16
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+_LETTER = re.compile(r"[A-Za-z]")
 
 
 def base_spans(text):
@@ -62,8 +65,8 @@ def states(text):
 def count_pairs(text):
     """Numbers of neighbouring states, [random, ordinary], of one text.
 
-    Pairs that reach from or to a character outside tokens belong to neither sample,
-    and a base span counts for the random one only.
+    Pairs that reach from or to a character outside tokens belong to neither sample, nor
+    do runs long enough to be candidates; a base span counts for the random one only.
     """
     state = states(text)
     random = np.zeros(STATES * STATES, dtype=np.int64)
@@ -73,6 +76,8 @@ def count_pairs(text):
         random += np.bincount(own[:-1] * STATES + own[1:], minlength=STATES * STATES)
     for start, end, _, _ in base:
         state[start:end] = 0
+    for run in _RUN.finditer(text):
+        state[run.start() : run.end()] = 0
     ordinary = np.bincount(state[:-1] * STATES + state[1:], minlength=STATES * STATES)
     return np.stack([random, ordinary])
 
@@ -93,7 +98,8 @@ def train(docs, text="text", smoothing=1.0, uniform=0.3):
     Tasks add up their counts, Spark adds up those of the tasks: the driver gets 2 x 68 x 68
     numbers at any size. `uniform` is the share of the random model that is the same for
     every character, so random strings of another alphabet than the samples' are still
-    likelier there; `smoothing` is added to every count. Null and empty texts count
+    likelier there; `smoothing` counts per character are spread as each sample's characters
+    are. Null and empty texts count
     nothing. Without samples both models are uniform and no ratio ever reaches a limit.
     """
     cells = 2 * STATES * STATES
@@ -120,7 +126,10 @@ def train(docs, text="text", smoothing=1.0, uniform=0.3):
     for row in counted:
         counts[row.cell] = row.n
     counts = counts.reshape(2, STATES, STATES)[:, 1:, 1:]
-    steps = counts + smoothing
+    # After a character that a sample has seldom or never, its usual characters count.
+    single = counts.sum(axis=1) + smoothing
+    single /= single.sum(axis=1, keepdims=True)
+    steps = counts + smoothing * (STATES - 1) * single[:, None, :]
     steps /= steps.sum(axis=2, keepdims=True)
     random = (1 - uniform) * steps[0] + uniform / (STATES - 1)
     ratio = np.zeros((STATES, STATES))
@@ -129,8 +138,8 @@ def train(docs, text="text", smoothing=1.0, uniform=0.3):
     return Model(ratio)
 
 
-def markov_spans(text, model, base, least, limit):
-    """Runs of `least` or more token characters outside `base` that are likelier random.
+def markov_spans(text, model, base, limit):
+    """Runs of `LEAST` or more token characters outside `base` that are likelier random.
 
     The log-likelihood ratio must exceed `limit` per step, so a run of 16 needs 15 times that.
     """
@@ -138,7 +147,8 @@ def markov_spans(text, model, base, least, limit):
     taken = sorted((start, end) for start, end, _, _ in base)
     for run in _RUN.finditer(text):
         start, end = run.span()
-        if end - start < least:
+        # Card and phone numbers are as random as keys, and no secrets of this kind.
+        if not _LETTER.search(run.group()):
             continue
         if any(s < end and start < e for s, e in taken):
             continue
@@ -148,17 +158,17 @@ def markov_spans(text, model, base, least, limit):
     return found
 
 
-def spans(text, model, least=16, limit=1.5):
+def spans(text, model, limit=1.5):
     """All spans of a text as (start, end, kind), by start and kind."""
     base = base_spans(text)
-    found = base + markov_spans(text, model, base, least, limit)
+    found = base + markov_spans(text, model, base, limit)
     return sorted(((s, e, k) for s, e, k, _ in found), key=lambda x: (x[0], x[2], x[1]))
 
 
 _SPAN = "array<struct<kind: string, start: int, end: int>>"
 
 
-def scan(docs, model, text="text", keep=("doc_id",), least=16, limit=1.5):
+def scan(docs, model, text="text", keep=("doc_id",), limit=1.5):
     """Columns `keep` and `spans`, an array of (kind, start, end), for every row of `docs`.
 
     Offsets are code points of the whole text, the end exclusive; the array is ordered by
@@ -178,7 +188,7 @@ def scan(docs, model, text="text", keep=("doc_id",), least=16, limit=1.5):
             found = [
                 [
                     {"kind": KINDS[k], "start": s, "end": e}
-                    for s, e, k in spans(value.as_py(), model, least, limit)
+                    for s, e, k in spans(value.as_py(), model, limit)
                 ]
                 for value in batch.column(len(keep))
             ]

@@ -337,7 +337,11 @@ SECRETS = [
 
 
 def test_secrets(spark):
-    prose_rows = [(100 + i, "the internationalization of ordinarywordsandidentifiers " + prose(i, 50)) for i in range(30)]
+    draw, parts = random.Random(8), "the in ter na tio or di ry con tain er spe cial ma chine wor ld".split()
+    prose_rows = [
+        (100 + i, "internationalization_of_ordinarycontainers " + " ".join("".join(draw.choices(parts, k=3)) for _ in range(400)))
+        for i in range(60)
+    ]
     rows = list(enumerate(SECRETS)) + prose_rows
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = by_id(secrets.report(secrets.scan(df, secrets.train(df))))

@@ -24,11 +24,12 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from daystar.llm.tables import LAST_ID, told_apart
+
 SHORT = 6
 WINDOW = 20
 # Words that are hashed together before their rows leave the task.
 _SLICE_WORDS = 1 << 20
-_LAST_ID = (1 << 63) - 1
 # Odd multipliers of the two path fingerprints.
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -91,13 +92,13 @@ def anchors(prints, span):
 
 
 def _slices(batches, width):
-    """Documents of Arrow batches in slices of a bounded number of words."""
+    """Documents (id, tie, words, more columns) of Arrow batches in slices of bounded words."""
     held, size = [], 0
     for batch in batches:
         for row in zip(*batch.columns[:width], strict=True):
             values = [value.as_py() for value in row]
-            words = words_of(values[1])
-            held.append((values[0], words, *values[2:]))
+            words = words_of(values[2])
+            held.append((values[0], values[1], words, *values[3:]))
             size += len(words)
             if size >= _SLICE_WORDS:
                 yield held
@@ -123,54 +124,56 @@ def _first_of_each(*keys):
 
 
 def _anchor_rows(docs, window, short):
-    """(prefix, id, start, known): anchors of every document.
+    """(prefix, id, tie, start, known): anchors of every document.
 
     Of the anchors that a slice has several times all are known to repeat, and one of
     them stands for the slice; the others go with their document's.
     """
 
     def run(batches):
-        for held in _slices(batches, 2):
-            prefixes, ids, starts = [], [], []
-            for key, words in held:
+        for held in _slices(batches, 3):
+            prefixes, ids, ties, starts = [], [], [], []
+            for key, tie, words in held:
                 if len(words) < window:
                     continue
                 prints = prefix_prints(_hashes(words), short)
                 found = anchors(prints, window - short + 1)
                 prefixes.append(prints[found])
                 ids.append(np.full(len(found), key, dtype=np.int64))
+                ties.append(np.full(len(found), tie, dtype=np.int64))
                 starts.append(found)
             if not ids:
                 continue
-            prefixes, ids, starts = map(np.concatenate, (prefixes, ids, starts))
+            prefixes, ids, ties, starts = map(np.concatenate, (prefixes, ids, ties, starts))
             first, sizes = _first_of_each(prefixes)
             own = _mix(ids.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(first, prefixes, own).view(np.int64)),
                     pa.array(ids),
+                    pa.array(ties),
                     pa.array(starts.astype(np.int32)),
                     pa.array(sizes > 1),
                 ],
-                names=["prefix", "id", "start", "known"],
+                names=["prefix", "id", "tie", "start", "known"],
             )
 
-    return docs.mapInArrow(run, "prefix long, id long, start int, known boolean")
+    return docs.mapInArrow(run, "prefix long, id long, tie long, start int, known boolean")
 
 
 def _suffix_rows(docs, window, short):
-    """(node, check, id, start): suffixes near repeated anchors, at full depth.
+    """(node, check, id, tie, start): suffixes near repeated anchors, at full depth.
 
-    `docs` has id, text and the anchors' starts. In a slice the first suffix of a node, by
-    id and start, is handed on; the others are known not to be first, which a start of
+    `docs` has id, tie, text and the anchors' starts. In a slice the first suffix of a node,
+    by id, tie and start, is handed on; the others are known not to be first, which a start of
     -1 - start says.
     """
     reach = window - short
 
     def run(batches):
-        for held in _slices(batches, 3):
-            nodes, checks, ids, starts = [], [], [], []
-            for key, words, places in held:
+        for held in _slices(batches, 4):
+            nodes, checks, ids, ties, starts = [], [], [], [], []
+            for key, tie, words, places in held:
                 last = len(words) - window
                 if last < 0:
                     continue
@@ -180,18 +183,15 @@ def _suffix_rows(docs, window, short):
                 nodes.append(prefix_prints(hashes, window, 0)[near])
                 checks.append(prefix_prints(_mix(hashes), window, 1)[near])
                 ids.append(np.full(len(near), key, dtype=np.int64))
+                ties.append(np.full(len(near), tie, dtype=np.int64))
                 starts.append(near)
             if not ids:
                 continue
-            nodes, checks, ids, starts = map(np.concatenate, (nodes, checks, ids, starts))
-            order = np.lexsort((starts, ids))
-            nodes, checks, ids, starts = (x[order] for x in (nodes, checks, ids, starts))
+            columns = [np.concatenate(column) for column in (nodes, checks, ids, ties, starts)]
+            order = np.lexsort((columns[4], columns[3], columns[2]))
+            nodes, checks, ids, ties, starts = (column[order] for column in columns)
             first, _ = _first_of_each(nodes, checks)
-            # Rows of one id and start are the same place, also where an id repeats.
-            group = np.lexsort((np.arange(len(ids)), nodes, checks))
-            known = np.zeros(len(ids), dtype=bool)
-            heads = group[np.maximum.accumulate(np.where(first[group], np.arange(len(group)), 0))]
-            known[group] = (ids[group] != ids[heads]) | (starts[group] != starts[heads])
+            known = ~first
             own = _mix(ids.astype(np.uint64))
             checks = (checks >> np.uint64(33)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -199,68 +199,66 @@ def _suffix_rows(docs, window, short):
                     pa.array(np.where(known, own, nodes).view(np.int64)),
                     pa.array(np.where(known, starts, checks).astype(np.int32)),
                     pa.array(ids),
+                    pa.array(ties),
                     pa.array(np.where(known, -1 - starts, starts).astype(np.int32)),
                 ],
-                names=["node", "check", "id", "start"],
+                names=["node", "check", "id", "tie", "start"],
             )
 
-    return docs.mapInArrow(run, "node long, check int, id long, start int")
+    return docs.mapInArrow(run, "node long, check int, id long, tie long, start int")
 
 
 def _gathered(rows):
-    return rows.groupBy("id").agg(F.collect_list("start").alias("starts"))
+    return rows.groupBy("id", "tie").agg(F.collect_list("start").alias("starts"))
 
 
 def _keyed(docs):
-    """id and text: a null id counts as the greatest, a null text as empty.
+    """id, tie and text: a null id counts as the greatest, a null text as empty.
 
-    Both joins read these two columns, so texts are shuffled once.
+    Both joins read these columns, so texts are shuffled once.
     """
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("id"),
-        F.coalesce("text", F.lit("")).alias("text"),
+    return told_apart(docs).select(
+        F.col("key").alias("id"), "tie", F.coalesce("row.text", F.lit("")).alias("text")
     )
 
 
 def _copies(keyed):
-    """id and prints of the texts under it that another row with a smaller id has whole."""
+    """id and tie of the rows whose whole text an earlier row has, and copy, which is true."""
     prints = keyed.select(
-        "id", F.xxhash64("text").alias("print"), F.xxhash64(F.lit(1), "text").alias("check")
+        "id", "tie", F.xxhash64("text").alias("print"), F.xxhash64(F.lit(1), "text").alias("check")
     )
-    first = prints.groupBy("print", "check").agg(F.min("id").alias("first"))
-    later = prints.join(first, ["print", "check"]).where("id > first")
-    return later.groupBy("id").agg(F.collect_set("print").alias("prints"))
-
+    first = prints.groupBy("print", "check").agg(F.min(F.struct("id", "tie")).alias("first"))
+    later = prints.join(first, ["print", "check"]).where(F.struct("id", "tie") > F.col("first"))
+    return later.select("id", "tie", F.lit(True).alias("copy"))
 
-def _is_copy():
-    return F.coalesce(F.array_contains("prints", F.xxhash64("text")), F.lit(False))
 
+def repeated_starts(keyed, window=WINDOW, short=SHORT):
+    """id, tie and starts: windows whose words also start earlier, gathered by document.
 
-def repeated_starts(docs, window=WINDOW, short=SHORT):
-    """id and starts: windows whose words also start earlier, gathered by document.
-
-    Earlier is a smaller id, or the same document and a smaller start. Whole copies of a
-    document with a smaller id are left out; all their windows start earlier.
+    Earlier is a smaller id, of one id a smaller tie, or the same document and a smaller
+    start. Whole copies of an earlier document are left out; all their windows start earlier.
     """
-    keyed = _keyed(docs)
     prefixes = _anchor_rows(keyed, window, short)
     twice = (
         prefixes.withColumn("n", F.count("*").over(Window.partitionBy("prefix")))
         .where("known or n > 1")
-        .select("id", "start")
+        .select("id", "tie", "start")
     )
     near = (
-        keyed.join(_gathered(twice), "id")
-        .join(_copies(keyed), "id", "left")
-        .where(~_is_copy())
-        .select("id", "text", "starts")
+        keyed.join(_gathered(twice), ["id", "tie"])
+        .join(_copies(keyed), ["id", "tie"], "left_anti")
+        .select("id", "tie", "text", "starts")
     )
     suffixes = _suffix_rows(near, window, short)
-    rank = F.rank().over(Window.partitionBy("node", "check").orderBy("id", "start"))
+    rank = F.rank().over(Window.partitionBy("node", "check").orderBy("id", "tie", "start"))
     return _gathered(
         suffixes.withColumn("rank", rank)
         .where("start < 0 or rank > 1")
-        .select("id", F.when(F.col("start") < 0, -1 - F.col("start")).otherwise(F.col("start")).alias("start"))
+        .select(
+            "id",
+            "tie",
+            F.when(F.col("start") < 0, -1 - F.col("start")).otherwise(F.col("start")).alias("start"),
+        )
     )
 
 
@@ -279,15 +277,15 @@ def deduplicated(docs, window=WINDOW, short=SHORT):
 
     `spans` are the maximal repeats that were removed, as [first word, word after the last]
     in the input's words; `kept` are the other words joined by one space. Windows are judged
-    on the input. Texts that are null, empty or shorter than a window lose nothing. Rows
-    that repeat an id count as one document, so the first occurrence stays in each of them;
-    a null id comes after all others (2^63 - 1 is read as null). An empty table gives no
+    on the input. Texts that are null, empty or shorter than a window lose nothing. A
+    null id comes after all others (2^63 - 1 is read as null); rows that share an id, or have
+    none, come in the order of `told_apart`. An empty table gives no
     rows.
     """
-    starts = repeated_starts(docs, window, short)
     keyed = _keyed(docs)
+    starts = repeated_starts(keyed, window, short)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    doc_id = F.when(F.col("id") != _LAST_ID, F.col("id")).cast(kind)
+    doc_id = F.when(F.col("id") != LAST_ID, F.col("id")).cast(kind)
 
     def run(batches):
         for batch in batches:
@@ -322,9 +320,9 @@ def deduplicated(docs, window=WINDOW, short=SHORT):
             )
 
     return (
-        keyed.join(starts, "id", "left")
-        .join(_copies(keyed), "id", "left")
-        .select(doc_id.alias("doc_id"), "text", "starts", _is_copy().alias("copy"))
+        keyed.join(starts, ["id", "tie"], "left")
+        .join(_copies(keyed), ["id", "tie"], "left")
+        .select(doc_id.alias("doc_id"), "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy"))
         .mapInArrow(
             run,
             f"doc_id {kind}, n_words long, n_removed long, spans array<array<int>>, kept string",

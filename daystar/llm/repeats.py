@@ -1,11 +1,11 @@
-"""Substring dedup on prefix-partitioned suffix trees.
+"""Substring dedup by fingerprints of fixed windows, in place of suffix trees.
 
-A suffix is the text from one word on. In a suffix tree a node at word depth d stands for
-one sequence of d words, and the leaves below it are the places where it starts; a
-passage of `window` words repeats where a node at that depth has two leaves or more. The
-trees are cut at that depth, and nodes are named by fingerprints of their path.
+In a suffix tree a node at word depth d stands for one sequence of d words, and the leaves
+below it are the places where it starts; a passage of `window` words repeats where a node at
+that depth has two leaves or more. No tree is built here: a fingerprint of the `window` words
+names the node at that depth, and equal fingerprints are its leaves.
 
-The forest is split by prefixes of two lengths. A short prefix that occurs once cannot
+Prefixes have two fixed lengths. A short prefix that occurs once cannot
 lead to a repeat, so only suffixes near short prefixes that occur twice are expanded to
 full depth; of the short prefixes, those that are least in some window stand for all
 (every window has one, and equal windows have the same). Full-depth prefixes split the

@@ -152,7 +152,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     class Session:
         conf = Conf()
-        sparkContext = type("Context", (), {"master": "yarn"})()
+        sparkContext = type("Context", (), {"master": "yarn", "applicationId": "none", "getCheckpointDir": lambda self: None})()
 
     with pytest.raises(RuntimeError):
         scratch.shared_folder(Session())

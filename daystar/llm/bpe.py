@@ -7,19 +7,24 @@ four bytes per token, no boxing on either side, and a digest of them needs no Py
 from __future__ import annotations
 
 import base64
+import hashlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+
+from daystar.llm.tables import text_or_empty
 
 # A text longer than this is encoded part by part.
 PART_CHARS = 1 << 16
 # Runs of blanks beyond this length are taken out of the pattern's hands: its
 # look-ahead keeps one state per blank and overflows on millions of them.
 LONG_BLANK = 4096
+#: Rows whose digests go back to Spark at once.
+SLICE_ROWS = 1024
 
 # No match of the usual patterns reaches over a blank between two letters: the letters
 # before it end a match, and the blank starts the next one.
@@ -119,12 +124,46 @@ def decode(tokens, rank_file, pattern, ids="ids", into="decoded"):
     return tokens.withColumn(into, decoded(F.col(ids)))
 
 
+def text_digests(encoding, text, size=PART_CHARS):
+    """n_tokens, ids_sha256 and decoded_sha256 of one text, part by part: no list of all its ids."""
+    tokens, ids_hash, decoded_hash = 0, hashlib.sha256(), hashlib.sha256()
+    pieces = [(text, False)] if len(text) <= min(size, LONG_BLANK) else parts(text, size)
+    for part, one_match in pieces:
+        ids = encoding._encode_single_piece(part) if one_match else encoding.encode_ordinary(part)
+        tokens += len(ids)
+        ids_hash.update(np.array(ids, dtype="<u4").tobytes())
+        decoded_hash.update(encoding.decode_bytes(ids))
+    return tokens, ids_hash.hexdigest(), decoded_hash.hexdigest()
+
+
 def digests(docs, rank_file, pattern):
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row of `docs`; see `encode`."""
-    tokens = decode(encode(docs, rank_file, pattern), rank_file, pattern)
-    return tokens.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row of `docs`.
+
+    A null text counts as empty. Repeated rows and null doc_ids keep a row each, and other
+    columns are not read. Encoding, decoding and both digests are one Python evaluation, text by
+    text: a task has one worker with one table of ranks, and nothing but counts and digests
+    goes back. Texts are handed out in slices of a batch, so results never pile up.
+    """
+    source = docs.select("doc_id", text_or_empty().alias("text"))
+    schema = StructType(
+        [
+            source.schema["doc_id"],
+            StructField("n_tokens", LongType()),
+            StructField("ids_sha256", StringType()),
+            StructField("decoded_sha256", StringType()),
+        ]
     )
+
+    def run(batches):
+        encoding = load(rank_file, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                ids, texts = batch.slice(at, SLICE_ROWS).columns
+                found = [text_digests(encoding, text.as_py()) for text in texts]
+                tokens, packed, decoded = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(tokens, pa.int64()), pa.array(packed), pa.array(decoded)],
+                    names=schema.names,
+                )
+
+    return source.mapInArrow(run, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, caps, fingerprints, licenses, lines, mixing, quality, repeats, secrets, simhash
+from daystar.llm import bpe, caps, fingerprints, licenses, lines, mixing, quality, repeats, runs, secrets, simhash
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -52,6 +52,10 @@ def op10_secrets(spark, sf_dir):
     return secrets.report(secrets.scan(docs, secrets.train(docs)))
 
 
+def op12_runs(spark, sf_dir):
+    return runs.report(runs.detect(runs.looped(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_repeats": op2_repeats,
@@ -63,4 +67,5 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op12_runs": op12_runs,
 }

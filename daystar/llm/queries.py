@@ -4,7 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from daystar.llm import bpe, caps, fingerprints, licenses, lines, mixing, quality, repeats, runs, secrets, simhash
+from pyspark.sql import functions as F
+
+from daystar.llm import (
+    bpe,
+    caps,
+    conversations,
+    fingerprints,
+    licenses,
+    lines,
+    mixing,
+    quality,
+    repeats,
+    runs,
+    secrets,
+    simhash,
+)
 from daystar.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -56,6 +71,11 @@ def op12_runs(spark, sf_dir):
     return runs.report(runs.detect(runs.looped(table(spark, sf_dir, "documents"))))
 
 
+def op13_turns(spark, sf_dir):
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(turns, present=~F.col("dropped")))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_repeats": op2_repeats,
@@ -68,4 +88,5 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
     "op12_runs": op12_runs,
+    "op13_turns": op13_turns,
 }

@@ -14,6 +14,7 @@ from daystar.llm import (
     licenses,
     lines,
     mixing,
+    neighbours,
     quality,
     repeats,
     runs,
@@ -67,6 +68,10 @@ def op10_secrets(spark, sf_dir):
     return secrets.report(secrets.scan(docs, secrets.train(docs)))
 
 
+def op11_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op12_runs(spark, sf_dir):
     return runs.report(runs.detect(runs.looped(table(spark, sf_dir, "documents"))))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_neighbours": op11_neighbours,
     "op12_runs": op12_runs,
     "op13_turns": op13_turns,
 }

@@ -8,7 +8,9 @@ Layout below `base`:
     gold/fact_cases_state_daily, gold/fact_testing_state_daily
 
 Stages hand over by written tables: each reads what the one before has stored, so
-a lost executor costs a task and not the job, and no feed is parsed twice.
+a lost executor costs a task and not the job, and no feed is parsed twice. Every refresh of a
+silver or gold table is a new version of its folder (see `sources.versions`): readers have the
+earlier rows until the new ones are complete, and keep them if the job dies.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from daystar.operators.lookups import region_lookup
 from daystar.plans import dims, facts, publish, silver
 from daystar.session import build_session
 from daystar.sources import catalog
-from daystar.sources.files import read_csv, read_parquet, write_parquet
+from daystar.sources.files import read_csv, read_parquet, replace_parquet, write_parquet
 
 SILVER_PARTITIONS = ("state_code", "year", "month", "day")
 SILVER_PARTITIONS_TEXT_KEY = ("year", "month", "day")
@@ -34,6 +36,12 @@ _GOLD = {
     "fact_testing_state_daily": (contracts.FACT_TESTING, FACT_PARTITIONS),
 }
 GOLD_TABLES = tuple(_GOLD)
+_KEYS = {
+    "dim_date": ["date_id"],
+    "dim_state": ["state_code"],
+    "fact_cases_state_daily": ["date_id", "state_code"],
+    "fact_testing_state_daily": ["date_id", "state_code"],
+}
 _SILVER = {
     "cases_standardized": contracts.SILVER_CASES,
     "testing_standardized": contracts.SILVER_TESTS,
@@ -71,20 +79,13 @@ def run_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
 
 
 def faults(gold):
-    """Number of faulty rows by check of a star: missing keys, repeated keys, orphans."""
-    found = {}
-    for name, key in [
-        ("dim_date", ["date_id"]),
-        ("dim_state", ["state_code"]),
-        ("fact_cases_state_daily", ["date_id", "state_code"]),
-        ("fact_testing_state_daily", ["date_id", "state_code"]),
-    ]:
-        found[f"{name}: missing key"] = quality.null_violations(gold[name], key).count()
-        found[f"{name}: repeated key"] = quality.duplicate_keys(gold[name], key).count()
-        if name.startswith("fact_"):
-            lost = quality.orphans(gold[name], gold["dim_date"], "date_id")
-            found[f"{name}: date not in dim_date"] = lost.count()
-    return found
+    """Number of faulty rows by check of a star: missing keys, repeated keys, facts without a date.
+
+    One job that reads the key columns of every table once.
+    """
+    tables = {name: (gold[name], key) for name, key in _KEYS.items()}
+    found = quality.key_faults(tables, parent="dim_date", by="date_id").collect()
+    return {row["check"]: row["rows"] for row in found}
 
 
 def _tell(found, on_fault):
@@ -99,8 +100,8 @@ def build_silver(spark, base, partition_by=SILVER_PARTITIONS):
     lookup = region_lookup(_bronze(spark, base, "static"))
     cases = silver.standardize_cases(_bronze(spark, base, "cases"), lookup)
     tests = silver.standardize_tests(_bronze(spark, base, "tests"), lookup)
-    write_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
-    write_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
+    replace_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
+    replace_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
 
 
 def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
@@ -115,22 +116,22 @@ def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
         keep_name=True,
     )
     tests = silver.standardize_tests(_bronze(spark, base, "tests"), text_key=True)
-    write_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
-    write_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
+    replace_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
+    replace_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
 
 
 def build_gold(spark, base):
     tables = silver_tables(spark, base)
     cases, tests = tables["cases_standardized"], tables["testing_standardized"]
-    write_parquet(dims.dim_date(cases, tests), f"{base}/gold/dim_date")
-    write_parquet(dims.dim_region(cases), f"{base}/gold/dim_state")
+    replace_parquet(dims.dim_date(cases, tests), f"{base}/gold/dim_date")
+    replace_parquet(dims.dim_region(cases), f"{base}/gold/dim_state")
     # The series of the facts leave a region's rows together and in date order, in
     # pieces if there are many: they are written as they come, without a second shuffle.
     for name, fact in [
         ("fact_cases_state_daily", facts.cases(cases)),
         ("fact_testing_state_daily", facts.testing(tests)),
     ]:
-        write_parquet(fact, f"{base}/gold/{name}", FACT_PARTITIONS, gather=False)
+        replace_parquet(fact, f"{base}/gold/{name}", FACT_PARTITIONS, gather=False)
 
 
 def build_gold_text_key(spark, base):
@@ -141,12 +142,12 @@ def build_gold_text_key(spark, base):
     tests = read_parquet(
         spark, f"{base}/silver/testing_standardized", contracts.SILVER_TESTS_TEXT_KEY
     )
-    write_parquet(dims.dim_date_simple(cases), f"{base}/gold/dim_date")
-    write_parquet(dims.region_codes(cases), f"{base}/gold/dim_state")
-    write_parquet(
+    replace_parquet(dims.dim_date_simple(cases), f"{base}/gold/dim_date")
+    replace_parquet(dims.region_codes(cases), f"{base}/gold/dim_state")
+    replace_parquet(
         facts.cases(cases, clamp=False, text_key=True), f"{base}/gold/fact_cases_state_daily"
     )
-    write_parquet(
+    replace_parquet(
         facts.testing(tests, clamp=False, text_key=True, as_percent=True),
         f"{base}/gold/fact_testing_state_daily",
     )

@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
+
+from pyspark.sql import functions as F
+
+from daystar.sources import files, versions
+
 # The three layers, one database each.
 LAYERS = ("bronze", "silver", "gold")
+# Fixed value: folder name of a partition without a value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_SPECS_AT_ONCE = 100
 
 
 def database(layer, prefix="daystar"):
@@ -27,25 +39,121 @@ def register_csv(spark, name, schema, path):
 
 
 def register_parquet(spark, name, schema, path, partition_by=()):
-    """Typed table over a Parquet folder, in place of an earlier one; finds its partitions."""
+    """Typed table over a Parquet folder, in place of an earlier one; finds its partitions.
+
+    Of a versioned folder the newest complete version is taken. The new table is made ready beside
+    the earlier one and then takes its name.
+    """
+    location = versions.current(spark, path)
+    if not partition_by and _same_columns(spark, name, schema):
+        spark.sql(f"ALTER TABLE {_name(name)} SET LOCATION {_text(location)}")
+        return
+    ready = f"{name}_{uuid.uuid4().hex[:8]}"
     parts = f" PARTITIONED BY ({', '.join(map(_name, partition_by))})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
     spark.sql(
-        f"CREATE TABLE {_name(name)} ({_columns(schema)}) USING PARQUET{parts}"
-        f" LOCATION {_text(path)}"
+        f"CREATE TABLE {_name(ready)} ({_columns(schema)}) USING PARQUET{parts}"
+        f" LOCATION {_text(location)}"
     )
     if partition_by:
-        repair(spark, name)
+        repair(spark, ready)
+    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
+    spark.sql(f"ALTER TABLE {_name(ready)} RENAME TO {_name(name)}")
 
 
 def repair(spark, name):
-    """Make partitions written since the last repair visible."""
+    """Make all partitions below the table's folder visible; lists the whole of it."""
     spark.catalog.recoverPartitions(name)
 
 
 def replace_table(df, name):
-    """Rebuild a managed table from a query."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Rebuild a table from a query; its earlier rows stay readable until the new ones are complete.
+
+    Rows go to a new version below the database's folder, and the table's location is switched
+    to it: a failed job changes nothing, and the query may read the table itself.
+    """
+    spark = df.sparkSession
+    layer, own = name.rsplit(".", 1)
+    root = f"{spark.catalog.getDatabase(layer).locationUri.rstrip('/')}/{own}"
+    files.replace_parquet(df, root)
+    register_parquet(spark, name, df.schema, root)
+
+
+def append_partitions(df, name):
+    """Add rows to a partitioned table and make their partitions visible; returns how many these are.
+
+    Rows go to a folder of their own below the table's, and only that folder is listed,
+    however many partitions the table has. A partition that is there already is written anew with
+    its old rows, and its location is switched; nothing of the earlier folders is changed.
+    """
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(name)
+    parts = [column.name for column in columns if column.isPartition]
+    table = spark.table(name)
+    df = df.select(*table.columns)
+    root = _location(spark, name)
+    # The catalog takes partitions one by one from the driver, so their list has to be there.
+    fresh, present = [], []
+    for spec in df.select(*parts).distinct().collect():
+        (present if _is_partition(spark, name, spec) else fresh).append(spec)
+    if not fresh and not present:
+        return 0
+    if present:
+        schema = table.select(*parts).schema
+        # As many rows as the new ones have partitions, so the side is as small as their list.
+        listed = F.broadcast(spark.createDataFrame(present, schema))
+        same = reduce(and_, [table[part].eqNullSafe(listed[part]) for part in parts])
+        df = df.unionByName(table.join(listed, same, "left_semi"))
+    folder = f"{root}/batch-{uuid.uuid4().hex}"
+    files.write_parquet(df, folder, parts)
+    folders = _partition_folders(spark, folder, len(parts))
+    for at in range(0, len(fresh), _SPECS_AT_ONCE):
+        specs = fresh[at : at + _SPECS_AT_ONCE]
+        added = " ".join(f"PARTITION ({_spec(s)}) LOCATION {_text(folders[_values(s)])}" for s in specs)
+        spark.sql(f"ALTER TABLE {_name(name)} ADD {added}")
+    for spec in present:
+        place = _text(folders[_values(spec)])
+        spark.sql(f"ALTER TABLE {_name(name)} PARTITION ({_spec(spec)}) SET LOCATION {place}")
+    return len(fresh) + len(present)
+
+
+def _partition_folders(spark, folder, depth):
+    """{partition values as text: folder} of a written folder, listed level by level."""
+    found = {(): folder}
+    for _ in range(depth):
+        found = {
+            (*values, None if value == _NO_VALUE else unquote(value)): f"{place}/{name}"
+            for values, place in found.items()
+            for name in versions.children(spark, place)
+            for _, equals, value in [name.partition("=")]
+            if equals
+        }
+    return found
+
+
+def _values(spec):
+    """Partition values as the text of their folders."""
+    return tuple(None if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in spec)
+
+
+def _spec(spec):
+    pairs = zip(spec.__fields__, _values(spec), strict=True)
+    return ", ".join(f"{_name(name)} = {'NULL' if v is None else _text(v)}" for name, v in pairs)
+
+
+def _is_partition(spark, name, spec):
+    return not spark.sql(f"SHOW PARTITIONS {_name(name)} PARTITION ({_spec(spec)})").isEmpty()
+
+
+def _location(spark, name):
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(name)}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
+def _same_columns(spark, name, schema):
+    if not spark.catalog.tableExists(name):
+        return False
+    kinds = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
+    return kinds == [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
 def _columns(schema):

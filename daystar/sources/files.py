@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from daystar.sources import versions
+
 
 def read_csv(spark, path, schema=None):
     """CSV with a header, all text unless `schema` says otherwise.
@@ -21,22 +23,42 @@ def read_csv(spark, path, schema=None):
 def read_parquet(spark, path, schema=None):
     """Parquet folder with its partition columns, in contract order if a `schema` is given.
 
-    The schema also keeps partition values in their declared type.
+    The schema also keeps partition values in their declared type. Of a folder that
+    `replace_parquet` writes, the newest complete version is read.
     """
+    path = versions.current(spark, path)
     if schema is None:
         return spark.read.parquet(path)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def write_parquet(df, path, partition_by=(), order_by=(), gather=True):
-    """Replace a Parquet folder.
+    """Write a Parquet folder in place of an earlier one.
 
     With `partition_by`, rows are first brought together by partition value, so a
     folder gets few files; adaptive execution splits the values that hold too many
     rows for one task and merges the small ones. `gather=False` saves that shuffle
     for rows that are together already. With `order_by`, files are in key order, or
-    sorted inside each partition folder.
+    sorted inside each partition folder. The earlier rows go before the new ones
+    are there; `replace_parquet` keeps them until then.
+    """
+    _written(_arranged(df, partition_by, order_by, gather), path, partition_by)
+
+
+def replace_parquet(df, path, partition_by=(), order_by=(), gather=True):
+    """Like `write_parquet`, into a new version of the folder, which is returned.
+
+    Readers see the rows of before until the write is complete, and for ever if it fails. A
+    version that nobody reads before it is complete needs no second renaming of its files.
     """
+    spark = df.sparkSession
+    folder = versions.new_version(spark, path)
+    _written(_arranged(df, partition_by, order_by, gather), folder, partition_by)
+    versions.drop_old(spark, path)
+    return folder
+
+
+def _arranged(df, partition_by, order_by, gather):
     partition_by, order_by = list(partition_by), list(order_by)
     if partition_by:
         if gather:
@@ -45,6 +67,10 @@ def write_parquet(df, path, partition_by=(), order_by=(), gather=True):
             df = df.sortWithinPartitions(*partition_by, *order_by)
     elif order_by:
         df = df.orderBy(*[F.asc_nulls_last(name) for name in order_by])
+    return df
+
+
+def _written(df, path, partition_by):
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -53,12 +53,12 @@ def test_text_key_variant(spark):
     bronze(spark, base)
     pipeline.build_silver_text_key(spark, base)
     pipeline.build_gold_text_key(spark, base)
-    silver = spark.read.parquet(f"{base}/silver/cases_standardized")
+    silver = files.read_parquet(spark, f"{base}/silver/cases_standardized")
     assert silver.count() == 36 and dict(silver.dtypes)["month"] == "int"
-    fact = spark.read.parquet(f"{base}/gold/fact_testing_state_daily")
+    fact = files.read_parquet(spark, f"{base}/gold/fact_testing_state_daily")
     assert fact.columns[-2:] == ["new_tests", "positivity_rate"]
     assert {row.positivity_rate for row in fact.collect()} == {None, 10.0}
-    assert spark.read.parquet(f"{base}/gold/dim_state").count() == 3
+    assert files.read_parquet(spark, f"{base}/gold/dim_state").count() == 3
 
 
 def test_refresh_feed(spark):

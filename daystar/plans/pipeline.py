@@ -22,7 +22,7 @@ from daystar.operators import quality
 from daystar.operators.lookups import region_lookup
 from daystar.plans import dims, facts, publish, silver
 from daystar.session import build_session
-from daystar.sources import catalog
+from daystar.sources import catalog, layout, versions
 from daystar.sources.files import read_csv, read_parquet, replace_parquet, write_parquet
 
 SILVER_PARTITIONS = ("state_code", "year", "month", "day")
@@ -55,19 +55,23 @@ def run(
     prefix="daystar",
     register=True,
     on_fault="report",
+    least_rows=layout.LEAST_ROWS,
+    quarantine=None,
 ):
     """Build silver and gold below `base` and register them; returns the gold tables.
 
-    Coarser `silver_partitions`, such as region and year, suit feeds with few rows
-    per region and day. The star is checked before anything is registered: faults are
+    Of `silver_partitions` those leading ones become folders that hold `least_rows` rows on
+    average, measured before silver is written; 0 makes them all folders. `quarantine="keys"` also
+    stores the feeds' rows that silver cannot take, `"strict"` those with unreadable
+    counters as well (see `quarantined`). The star is checked before anything is registered: faults are
     printed, or end the job under `on_fault="fail"`; `None` skips the checks.
     """
-    build_silver(spark, base, silver_partitions)
+    build_silver(spark, base, silver_partitions, least_rows, quarantine)
     build_gold(spark, base)
     if on_fault is not None:
         _tell(faults(gold_tables(spark, base)), on_fault)
     if register:
-        register_tables(spark, base, silver_partitions, prefix)
+        register_tables(spark, base, prefix)
     return gold_tables(spark, base)
 
 
@@ -96,15 +100,46 @@ def _tell(found, on_fault):
         print(f"{check}: {rows}")
 
 
-def build_silver(spark, base, partition_by=SILVER_PARTITIONS):
+def build_silver(
+    spark, base, partition_by=SILVER_PARTITIONS, least_rows=layout.LEAST_ROWS, quarantine=None
+):
+    """Typed cases and tests. With `quarantine` kept and other rows are written by the same job, each to its folder."""
     lookup = region_lookup(_bronze(spark, base, "static"))
-    cases = silver.standardize_cases(_bronze(spark, base, "cases"), lookup)
-    tests = silver.standardize_tests(_bronze(spark, base, "tests"), lookup)
-    replace_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
-    replace_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
-
-
-def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
+    raw_cases, raw_tests = _bronze(spark, base, "cases"), _bronze(spark, base, "tests")
+    if quarantine is None:
+        cases = silver.standardize_cases(raw_cases, lookup)
+        tests = silver.standardize_tests(raw_tests, lookup)
+        always = ()
+    else:
+        strict = quarantine == "strict"
+        cases = silver.checked_cases(raw_cases, lookup, strict)
+        tests = silver.checked_tests(raw_tests, lookup, strict)
+        always = ("status",)
+    for name, table in (("cases_standardized", cases), ("testing_standardized", tests)):
+        path = f"{base}/silver/{name}"
+        layout.replace_planned(table, path, partition_by, least_rows, always=always)
+
+
+def quarantined(spark, base, name):
+    """Rows of a feed that its silver table did not take: `raw`, as they came, and `faults`."""
+    folder = f"{versions.current(spark, f'{base}/silver/{name}')}/status=quarantined"
+    if not versions.children(spark, folder):
+        feed = {"cases_standardized": contracts.BRONZE_CASES, "testing_standardized": contracts.BRONZE_TESTS}
+        kind = feed[name].simpleString()
+        return spark.createDataFrame([], f"raw {kind}, faults array<string>")
+    return spark.read.parquet(folder).select("raw", "faults")
+
+
+def _silver_folder(spark, base, name):
+    """The folder of a silver table's rows, beside which there may be one of quarantined rows."""
+    folder = versions.current(spark, f"{base}/silver/{name}")
+    checked = any(child.startswith("status=") for child in versions.children(spark, folder))
+    return f"{folder}/status=kept" if checked else folder
+
+
+def build_silver_text_key(
+    spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY, least_rows=layout.LEAST_ROWS
+):
     """Silver with text date keys; regions without a code are kept, with the name they came by."""
     lookup = _bronze(spark, base, "static").selectExpr("abbr AS state_code", "name AS state_name")
     cases = silver.standardize_cases(
@@ -116,8 +151,8 @@ def build_silver_text_key(spark, base, partition_by=SILVER_PARTITIONS_TEXT_KEY):
         keep_name=True,
     )
     tests = silver.standardize_tests(_bronze(spark, base, "tests"), text_key=True)
-    replace_parquet(cases, f"{base}/silver/cases_standardized", partition_by)
-    replace_parquet(tests, f"{base}/silver/testing_standardized", partition_by)
+    layout.replace_planned(cases, f"{base}/silver/cases_standardized", partition_by, least_rows)
+    layout.replace_planned(tests, f"{base}/silver/testing_standardized", partition_by, least_rows)
 
 
 def build_gold(spark, base):
@@ -154,10 +189,13 @@ def build_gold_text_key(spark, base):
 
 
 def silver_tables(spark, base):
-    return {
-        name: read_parquet(spark, f"{base}/silver/{name}", schema)
-        for name, schema in _SILVER.items()
-    }
+    tables = {}
+    for name, schema in _SILVER.items():
+        folder = _silver_folder(spark, base, name)
+        # No row at all may have been kept.
+        there = versions.children(spark, folder)
+        tables[name] = read_parquet(spark, folder, schema) if there else spark.createDataFrame([], schema)
+    return tables
 
 
 def gold_tables(spark, base):
@@ -167,17 +205,17 @@ def gold_tables(spark, base):
     }
 
 
-def register_tables(spark, base, silver_partitions=SILVER_PARTITIONS, prefix="daystar"):
-    """Catalog tables over everything that `run` wrote, and over the region lookup."""
+def register_tables(spark, base, prefix="daystar"):
+    """Catalog tables over everything that `run` wrote, with the folders it has, and over the region lookup."""
     catalog.ensure_databases(spark, prefix)
     bronze, silver_db, gold = (catalog.database(layer, prefix) for layer in catalog.LAYERS)
     catalog.register_csv(
         spark, f"{bronze}.states_lookup", contracts.BRONZE_LOOKUP, f"{base}/bronze/static"
     )
     for name, schema in _SILVER.items():
-        catalog.register_parquet(
-            spark, f"{silver_db}.{name}", schema, f"{base}/silver/{name}", silver_partitions
-        )
+        path = _silver_folder(spark, base, name)
+        parts = layout.partition_columns(spark, path)
+        catalog.register_parquet(spark, f"{silver_db}.{name}", schema, path, parts)
     for name, (schema, partition_by) in _GOLD.items():
         catalog.register_parquet(
             spark, f"{gold}.{name}", schema, f"{base}/gold/{name}", partition_by

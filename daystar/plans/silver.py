@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daystar.contracts import (
@@ -30,14 +31,24 @@ NAMED_CASES_TEXT_KEY = StructType(
 )
 
 
+_RAW = "__raw"
+
+
 def standardize_cases(
-    raw, lookup, keep_unmatched=False, text_key=False, match="initcap", keep_name=False
+    raw,
+    lookup,
+    keep_unmatched=False,
+    text_key=False,
+    match="initcap",
+    keep_name=False,
+    keep_all=False,
 ):
     """Typed cases, with the region found by name.
 
     Regions missing from the lookup are dropped, or kept without a code under
     `keep_unmatched`. `text_key` keeps the date as `yyyyMMdd` text, and with
-    `keep_name` the name as it came, which tells regions without a code apart.
+    `keep_name` the name as it came, which tells regions without a code apart. `keep_all`
+    drops no row and no column.
     """
     attached = attach_region_by_name(raw, lookup, match=match)
     if text_key:
@@ -59,6 +70,8 @@ def standardize_cases(
             }
         )
         typed = typed.withColumns(date_parts("full_date"))
+        if keep_all:
+            return typed
         contract, required = SILVER_CASES, ["full_date"]
     if keep_unmatched:
         # The text key form keeps every row; a typed date is always required.
@@ -70,10 +83,11 @@ def standardize_cases(
     return _shaped(typed, contract, required)
 
 
-def standardize_tests(raw, lookup=None, text_key=False):
+def standardize_tests(raw, lookup=None, text_key=False, keep_all=False):
     """Typed tests, with the region name found by code; a code without a name stays.
 
-    `text_key` keeps date and code as they came, joins nothing and drops nothing.
+    `text_key` keeps date and code as they came, joins nothing and drops nothing. `keep_all`
+    drops no row and no column.
     """
     if text_key:
         typed = raw.withColumns(
@@ -98,9 +112,54 @@ def standardize_tests(raw, lookup=None, text_key=False):
     )
     typed = typed.withColumns(date_parts("full_date"))
     named = attach_region_by_code(typed, lookup)
+    if keep_all:
+        return named
     return _shaped(named, SILVER_TESTS, ["full_date", "state_code"])
 
 
+def checked_cases(raw, lookup, strict=False):
+    """Every row of a cases feed, either kept or quarantined; see `_checked`."""
+    typed = standardize_cases(_with_raw(raw), lookup, keep_all=True)
+    counters = {"cases": "cases_cum", "deaths": "deaths_cum"}
+    return _checked(typed, SILVER_CASES, ["full_date", "state_code"], counters, strict)
+
+
+def checked_tests(raw, lookup, strict=False):
+    """Every row of a tests feed, either kept or quarantined; see `_checked`."""
+    typed = standardize_tests(_with_raw(raw), lookup, keep_all=True)
+    counters = {
+        "totalTestResults": "tests_total_cum", "positive": "tests_pos_cum", "negative": "tests_neg_cum"
+    }
+    return _checked(typed, SILVER_TESTS, ["full_date", "state_code"], counters, strict)
+
+
+def _with_raw(raw):
+    return raw.withColumn(_RAW, F.struct("*"))
+
+
+def _checked(typed, contract, required, counters, strict):
+    """The contract's columns, `status`, `faults` and `raw`, one row per row of the feed.
+
+    A row without a required key is `quarantined`, and under `strict` one with a counter that
+    is there but no number; all others are `kept`. `faults` names the keys that are missing and the
+    counters that cannot be read, of kept rows too; `raw` is the row as it came, of quarantined ones.
+    """
+    missing = [F.when(F.col(name).isNull(), F.lit(name)) for name in required]
+    unreadable = [
+        F.when(F.col(column).isNull() & (F.trim(F.col(_RAW)[name]) != ""), F.lit(name))
+        for name, column in counters.items()
+    ]
+    faults = F.array_compact(F.array(*missing, *unreadable))
+    reasons = faults if strict else F.array_compact(F.array(*missing))
+    lost = F.size(reasons) > 0
+    return typed.select(
+        *contract.fieldNames(),
+        F.when(lost, F.lit("quarantined")).otherwise(F.lit("kept")).alias("status"),
+        faults.alias("faults"),
+        F.when(lost, F.col(_RAW)).alias("raw"),
+    )
+
+
 def typed_copy(raw):
     """Feed that already carries daily changes: same columns, counters strictly parsed."""
     counters = ["cases", "deaths", "new_cases", "new_deaths"]

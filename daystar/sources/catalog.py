@@ -90,20 +90,46 @@ def append_partitions(df, name):
     parts = [column.name for column in columns if column.isPartition]
     table = spark.table(name)
     df = df.select(*table.columns)
-    root = _location(spark, name)
     # The catalog takes partitions one by one from the driver, so their list has to be there.
     fresh, present = [], []
     for spec in df.select(*parts).distinct().collect():
         (present if _is_partition(spark, name, spec) else fresh).append(spec)
+    if present:
+        df = df.unionByName(_of_partitions(table, parts, present))
+    return _write_partitions(df, name, parts, fresh, present)
+
+
+def compact_partitions(spark, name, file_bytes=128 << 20):
+    """Write anew those partitions that have more files than their size needs; returns how many these are.
+
+    Sizes come from the files' own descriptions. A partition keeps its rows and gets a new
+    location, which it has from one moment to the next; the others are not touched.
+    """
+    table = spark.table(name)
+    parts = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    listed = table.select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
+    crowded = (
+        listed.groupBy(*parts)
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
+        .where(F.col("files") > F.greatest(F.ceil(F.col("bytes") / file_bytes), F.lit(1)))
+    )
+    specs = crowded.select(*parts).collect()
+    return _write_partitions(_of_partitions(table, parts, specs), name, parts, [], specs) if specs else 0
+
+
+def _of_partitions(table, parts, specs):
+    """Rows of the listed partitions; the list is as short as the catalog calls that follow from it."""
+    listed = F.broadcast(table.sparkSession.createDataFrame(specs, table.select(*parts).schema))
+    same = reduce(and_, [table[part].eqNullSafe(listed[part]) for part in parts])
+    return table.join(listed, same, "left_semi")
+
+
+def _write_partitions(df, name, parts, fresh, present):
+    """Write partitions to a new folder below the table's, then add `fresh` ones and switch `present` ones."""
     if not fresh and not present:
         return 0
-    if present:
-        schema = table.select(*parts).schema
-        # As many rows as the new ones have partitions, so the side is as small as their list.
-        listed = F.broadcast(spark.createDataFrame(present, schema))
-        same = reduce(and_, [table[part].eqNullSafe(listed[part]) for part in parts])
-        df = df.unionByName(table.join(listed, same, "left_semi"))
-    folder = f"{root}/batch-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    folder = f"{_location(spark, name)}/batch-{uuid.uuid4().hex}"
     files.write_parquet(df, folder, parts)
     folders = _partition_folders(spark, folder, len(parts))
     for at in range(0, len(fresh), _SPECS_AT_ONCE):

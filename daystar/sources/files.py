@@ -42,7 +42,7 @@ def write_parquet(df, path, partition_by=(), order_by=(), gather=True):
     sorted inside each partition folder. The earlier rows go before the new ones
     are there; `replace_parquet` keeps them until then.
     """
-    _written(_arranged(df, partition_by, order_by, gather), path, partition_by)
+    write_plain(_arranged(df, partition_by, order_by, gather), path, partition_by)
 
 
 def replace_parquet(df, path, partition_by=(), order_by=(), gather=True):
@@ -53,7 +53,7 @@ def replace_parquet(df, path, partition_by=(), order_by=(), gather=True):
     """
     spark = df.sparkSession
     folder = versions.new_version(spark, path)
-    _written(_arranged(df, partition_by, order_by, gather), folder, partition_by)
+    write_plain(_arranged(df, partition_by, order_by, gather), folder, partition_by)
     versions.drop_old(spark, path)
     return folder
 
@@ -70,8 +70,9 @@ def _arranged(df, partition_by, order_by, gather):
     return df
 
 
-def _written(df, path, partition_by):
-    writer = df.write.mode("overwrite")
+def write_plain(df, path, partition_by=(), **options):
+    """Write rows where they are, without moving or sorting them first."""
+    writer = df.write.mode("overwrite").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -131,6 +131,64 @@ def tests(spark, sf_dir):
     )
 
 
+def cases_dirty(spark, sf_dir):
+    """The cases feed with unreadable dates and counters, odd spellings and missing fields, by day of month."""
+    day = F.dayofmonth(F.col("date").cast("date"))
+    none = F.lit(None).cast("string")
+    date = F.when(day == 3, F.translate("date", "-", "/")).when(day == 9, none).otherwise(F.col("date"))
+    state = (
+        F.when(day == 5, F.upper("state"))
+        .when(day == 12, F.concat("state", F.lit(" ")))
+        .when(day == 20, none)
+        .otherwise(F.col("state"))
+    )
+    number = (
+        F.when(day % 6 == 1, F.concat("cases", F.lit(".7")))
+        .when(day % 6 == 2, "n/a")
+        .when(day % 6 == 3, F.concat(F.lit(" "), "cases", F.lit(" ")))
+        .when(day == 28, "")
+        .otherwise(F.col("cases"))
+    )
+    deaths = (
+        F.when(day % 4 == 0, none)
+        .when(day % 7 == 5, F.concat(F.lit("-"), "deaths"))
+        .when(day % 10 == 6, F.concat("deaths", F.lit("x")))
+        .otherwise(F.col("deaths"))
+    )
+    return cases(spark, sf_dir).select(
+        date.alias("date"), state.alias("state"), number.alias("cases"), deaths.alias("deaths")
+    )
+
+
+def tests_dirty(spark, sf_dir):
+    """The tests feed with malformed dates and counters, zero totals and missing fields, by day of month."""
+    day = F.substring("date", 7, 2).cast("int")
+    none = F.lit(None).cast("string")
+    year, month, rest = F.substring("date", 1, 4), F.substring("date", 5, 2), F.substring("date", 7, 2)
+    date = (
+        F.when(day == 4, F.concat_ws("-", year, month, rest))
+        .when(day == 8, F.concat(year, F.lit("13"), rest))
+        .when(day == 15, none)
+        .otherwise(F.col("date"))
+    )
+    state = F.when(day == 6, F.concat("state", F.lit("  "))).when(day == 22, none).otherwise(F.col("state"))
+    total = (
+        F.when(day == 10, "0")
+        .when(day == 17, "n/a")
+        .when(day == 2, F.concat("totalTestResults", F.lit(".0")))
+        .otherwise(F.col("totalTestResults"))
+    )
+    positive = F.when(day == 12, none).when(day == 18, "").otherwise(F.col("positive"))
+    negative = F.when(day == 25, F.concat(F.lit("~"), "negative")).otherwise(F.col("negative"))
+    return tests(spark, sf_dir).select(
+        date.alias("date"),
+        state.alias("state"),
+        total.alias("totalTestResults"),
+        positive.alias("positive"),
+        negative.alias("negative"),
+    )
+
+
 def feed(spark, sf_dir):
     """Raw feed that carries daily changes; no deaths on a day read `n/a`."""
     return cases_daily(spark, sf_dir).select(

@@ -49,6 +49,21 @@ def _average(column, key="state_code"):
     return f"cast({' + '.join(rows)} AS double) / 7 AS {column}_7day"
 
 
+def _lenient(text):
+    """Whole number of a text, cut at its point."""
+    return (
+        f"CASE WHEN regexp_full_match(trim({text}), '[+-]?[0-9]+([.][0-9]*)?')"
+        f" THEN cast(regexp_extract(trim({text}), '^[+-]?[0-9]+') AS bigint) END"
+    )
+
+
+def _unreadable(columns):
+    """Names of columns, by name, whose text is there but no number."""
+    return [
+        f"CASE WHEN {_lenient(name)} IS NULL AND trim({name}) <> '' THEN '{name}' END" for name in columns
+    ]
+
+
 _LABEL = "strftime(strptime(cast(date_id AS varchar), '%Y%m%d'), '%Y-%m-%d')"
 _POSITIVITY = "cast(tests_pos_cum AS double) / nullif(tests_total_cum, 0) AS positivity_rate"
 _RATE = "CASE WHEN tests_total_cum > 0 THEN tests_pos_cum / tests_total_cum END"
@@ -161,6 +176,71 @@ _TABLES = {
         SELECT date, name AS state_name, cases, deaths, new_cases, new_deaths
         FROM silver_feed LEFT JOIN lookup ON trim(state) = trim(abbr)
     """,
+    "cases_dirty": """
+        SELECT CASE m WHEN 3 THEN replace(date, '-', '/') WHEN 9 THEN NULL ELSE date END AS date,
+               CASE m WHEN 5 THEN upper(state) WHEN 12 THEN state || ' ' WHEN 20 THEN NULL ELSE state END
+                   AS state,
+               CASE WHEN m % 6 = 1 THEN cases || '.7' WHEN m % 6 = 2 THEN 'n/a'
+                    WHEN m % 6 = 3 THEN ' ' || cases || ' ' WHEN m = 28 THEN '' ELSE cases END AS cases,
+               CASE WHEN m % 4 = 0 THEN NULL WHEN m % 7 = 5 THEN '-' || deaths
+                    WHEN m % 10 = 6 THEN deaths || 'x' ELSE deaths END AS deaths
+        FROM (SELECT *, day(cast(date AS date)) AS m FROM cases)
+    """,
+    "tests_dirty": """
+        SELECT CASE m WHEN 4 THEN concat_ws('-', substr(date, 1, 4), substr(date, 5, 2), substr(date, 7, 2))
+                      WHEN 8 THEN substr(date, 1, 4) || '13' || substr(date, 7, 2)
+                      WHEN 15 THEN NULL ELSE date END AS date,
+               CASE m WHEN 6 THEN state || '  ' WHEN 22 THEN NULL ELSE state END AS state,
+               CASE m WHEN 10 THEN '0' WHEN 17 THEN 'n/a' WHEN 2 THEN totalTestResults || '.0'
+                      ELSE totalTestResults END AS totalTestResults,
+               CASE m WHEN 12 THEN NULL WHEN 18 THEN '' ELSE positive END AS positive,
+               CASE m WHEN 25 THEN '~' || negative ELSE negative END AS negative
+        FROM (SELECT *, cast(substr(date, 7, 2) AS integer) AS m FROM tests)
+    """,
+    "typed_cases_dirty": f"""
+        SELECT cases_dirty.*, CASE WHEN date NOT LIKE '%/%' THEN cast(date AS date) END AS full_date,
+               state_code, state_name, {_lenient("cases")} AS cases_cum, {_lenient("deaths")} AS deaths_cum
+        FROM cases_dirty LEFT JOIN clean_lookup ON {_initcap("state")} = state_name
+    """,
+    "silver_cases_dirty": f"""
+        SELECT full_date, state_code, state_name, cases_cum, deaths_cum, {_parts("full_date")}
+        FROM typed_cases_dirty WHERE full_date IS NOT NULL AND state_code IS NOT NULL
+    """,
+    "typed_tests_dirty": f"""
+        SELECT t.*, state_name FROM (
+            SELECT *, cast(try_strptime(CASE WHEN regexp_full_match(date, '[0-9]{{8}}') THEN date END, '%Y%m%d') AS date)
+                       AS full_date,
+                   upper(trim(state)) AS state_code,
+                   {_lenient("totalTestResults")} AS tests_total_cum,
+                   {_lenient("positive")} AS tests_pos_cum, {_lenient("negative")} AS tests_neg_cum
+            FROM tests_dirty
+        ) AS t LEFT JOIN clean_lookup ON t.state_code = clean_lookup.state_code
+    """,
+    "silver_tests_dirty": f"""
+        SELECT full_date, state_code, state_name, tests_total_cum, tests_pos_cum, tests_neg_cum,
+               {_parts("full_date")}
+        FROM typed_tests_dirty WHERE full_date IS NOT NULL AND state_code IS NOT NULL
+    """,
+    "fact_tests_dirty": f"""
+        SELECT {_date_id("full_date")} AS date_id, state_code, tests_total_cum, tests_pos_cum,
+               tests_neg_cum, {_delta("tests_total_cum", True)} AS new_tests,
+               {_RATE} AS positivity_rate
+        FROM silver_tests_dirty
+    """,
+    "faults_cases": f"""
+        SELECT date, state, cases, deaths, full_date IS NULL OR state_code IS NULL AS lost,
+               concat_ws(',', CASE WHEN full_date IS NULL THEN 'full_date' END,
+                         CASE WHEN state_code IS NULL THEN 'state_code' END,
+                         {", ".join(_unreadable(["cases", "deaths"]))}) AS faults
+        FROM typed_cases_dirty
+    """,
+    "faults_tests": f"""
+        SELECT date, state, totalTestResults, positive, negative,
+               concat_ws(',', CASE WHEN full_date IS NULL THEN 'full_date' END,
+                         CASE WHEN state_code IS NULL THEN 'state_code' END,
+                         {", ".join(_unreadable(["totalTestResults", "positive", "negative"]))}) AS faults
+        FROM typed_tests_dirty
+    """,
     "all_dates": """
         SELECT full_date FROM silver_cases UNION SELECT full_date FROM silver_tests
     """,
@@ -491,6 +571,37 @@ _SELECTS = {
         FROM fact_cases
     """,
     "pipeline_feed": "SELECT * FROM fact_feed",
+    "pipeline_default": "SELECT * FROM fact_cases",
+    "layout_by_day": """
+        SELECT count(*) AS folders, count(*) AS files
+        FROM (SELECT DISTINCT state_code, year, month, day FROM dense)
+    """,
+    "appended_partitions": "SELECT * FROM silver_cases",
+    "silver_cases_dirty": "SELECT * FROM silver_cases_dirty",
+    "silver_tests_dirty": "SELECT * FROM silver_tests_dirty",
+    "fact_cases_dirty": f"""
+        SELECT {_date_id("full_date")} AS date_id, state_code, cases_cum, deaths_cum,
+               {_delta("cases_cum", True)} AS new_cases, {_delta("deaths_cum", True)} AS new_deaths
+        FROM silver_cases_dirty
+    """,
+    "fact_testing_dirty": "SELECT * FROM fact_tests_dirty",
+    "moving_avg_dirty": f"SELECT *, {_average('positivity_rate')} FROM fact_tests_dirty",
+    "parse_compact_date_malformed": "SELECT state, date, full_date FROM typed_tests_dirty",
+    # An empty field of a CSV file has no value.
+    "quarantined_cases": """
+        SELECT date, state, nullif(cases, '') AS cases, deaths, faults FROM faults_cases WHERE lost
+    """,
+    "quarantined_tests_strict": """
+        SELECT date, state, totalTestResults, nullif(positive, '') AS positive, negative, faults
+        FROM faults_tests WHERE faults <> ''
+    """,
+    "quarantine_balance": """
+        SELECT 'cases' AS feed, count(*) AS "read", count(CASE WHEN faults = '' THEN 1 END) AS kept,
+               count(CASE WHEN faults <> '' THEN 1 END) AS quarantined FROM faults_cases
+        UNION ALL
+        SELECT 'tests', count(*), count(CASE WHEN faults = '' THEN 1 END),
+               count(CASE WHEN faults <> '' THEN 1 END) FROM faults_tests
+    """,
 }
 
 _WITH = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in _TABLES.items())

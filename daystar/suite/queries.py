@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daystar import contracts
 from daystar import functions as fn
 from daystar.operators import lookups, quality, series
 from daystar.plans import dims, facts, marts, pipeline, publish, silver
-from daystar.sources import catalog, files, scratch
+from daystar.sources import catalog, files, layout, scratch
 from daystar.suite import fixtures as fx
 from daystar.suite import stored
 
@@ -698,6 +700,91 @@ def preview_dim_date(spark, sf):
     return marts.preview(_dim_date(spark, sf))
 
 
+# Feeds with missing, malformed and oddly spelt fields
+
+
+def _silver_dirty_cases(spark, sf):
+    return silver.standardize_cases(fx.cases_dirty(spark, sf), _lookup(spark, sf))
+
+
+def _silver_dirty_tests(spark, sf):
+    return silver.standardize_tests(fx.tests_dirty(spark, sf), _lookup(spark, sf))
+
+
+@query
+def silver_cases_dirty(spark, sf):
+    return _silver_dirty_cases(spark, sf)
+
+
+@query
+def silver_tests_dirty(spark, sf):
+    return _silver_dirty_tests(spark, sf)
+
+
+@query
+def fact_cases_dirty(spark, sf):
+    return facts.cases(_silver_dirty_cases(spark, sf))
+
+
+@query
+def fact_testing_dirty(spark, sf):
+    return facts.testing(_silver_dirty_tests(spark, sf))
+
+
+@query
+def moving_avg_dirty(spark, sf):
+    fact = facts.testing(_silver_dirty_tests(spark, sf))
+    return series.moving_avg(fact, {"positivity_rate_7day": "positivity_rate"}, **_STATE)
+
+
+@query
+def parse_compact_date_malformed(spark, sf):
+    dirty = fx.tests_dirty(spark, sf)
+    return dirty.select("state", "date", fn.compact_date("date").alias("full_date"))
+
+
+def _checked_silver(spark, sf, quarantine):
+    """Folder of silver from the dirty feeds, kept and quarantined rows from one write each."""
+    base = scratch.new_folder(spark, "checked")
+    files.write_csv(fx.cases_dirty(spark, sf), f"{base}/bronze/cases")
+    files.write_csv(fx.tests_dirty(spark, sf), f"{base}/bronze/tests")
+    files.write_csv(fx.lookup(spark, sf), f"{base}/bronze/static")
+    pipeline.build_silver(spark, base, quarantine=quarantine)
+    return base
+
+
+def _rejected(spark, base, name):
+    return pipeline.quarantined(spark, base, name).select(
+        "raw.*", F.array_join("faults", ",").alias("faults")
+    )
+
+
+@query
+def quarantined_cases(spark, sf):
+    """Rows without a readable date or a known region, as they came."""
+    return _rejected(spark, _checked_silver(spark, sf, "keys"), "cases_standardized")
+
+
+@query
+def quarantined_tests_strict(spark, sf):
+    """Rows that miss a key, and those whose counters are there but no numbers."""
+    return _rejected(spark, _checked_silver(spark, sf, "strict"), "testing_standardized")
+
+
+@query
+def quarantine_balance(spark, sf):
+    """Rows read, kept and quarantined of both feeds under the strict rule."""
+    base = _checked_silver(spark, sf, "strict")
+    kept, parts = pipeline.silver_tables(spark, base), []
+    for feed, name in (("cases", "cases_standardized"), ("tests", "testing_standardized")):
+        read = files.read_csv(spark, f"{base}/bronze/{feed}")
+        tagged = [("read", read), ("kept", kept[name]), ("quarantined", pipeline.quarantined(spark, base, name))]
+        parts += [df.select(F.lit(feed).alias("feed"), F.lit(tag).alias("tag")) for tag, df in tagged]
+    rows = reduce(DataFrame.unionByName, parts)
+    counts = [F.count_if(F.col("tag") == tag).alias(tag) for tag in ("read", "kept", "quarantined")]
+    return rows.groupBy("feed").agg(*counts)
+
+
 # Quality
 
 
@@ -787,6 +874,42 @@ def pipeline_star(spark, sf):
     return fact.select(*contracts.FACT_TESTING.fieldNames())
 
 
+@query
+def pipeline_default(spark, sf):
+    """The job as it runs without any options: silver by region and day as far as folders are worth it."""
+    base, prefix = scratch.new_folder(spark, "pipeline"), _new_prefix()
+    stored.write_bronze(spark, sf, base)
+    catalog.ensure_databases(spark, prefix, f"{base}/databases")
+    pipeline.run(spark, base, prefix=prefix)
+    fact = spark.table(f"{catalog.database('gold', prefix)}.fact_cases_state_daily")
+    return fact.select(*contracts.FACT_CASES.fieldNames())
+
+
+@query
+def layout_by_day(spark, sf):
+    """Folders and files of a table with a folder per region and day, as planned: one file each."""
+    path = scratch.new_folder(spark, "layout")
+    parts = list(pipeline.SILVER_PARTITIONS)
+    layout.replace_planned(_dense_silver(spark, sf), path, parts, least_rows=0)
+    return layout.folder_report(spark, path).select("folders", "files")
+
+
+@query
+def appended_partitions(spark, sf):
+    """A table that gets its years one after the other, then is compacted."""
+    path, prefix = scratch.new_folder(spark, "appended"), _new_prefix()
+    cases, parts = _stored_cases(spark, sf), ["year"]
+    files.replace_parquet(cases.where("year <= 1993"), path, parts)
+    catalog.ensure_databases(spark, prefix, scratch.new_folder(spark, "databases"))
+    name = f"{catalog.database('silver', prefix)}.cases"
+    catalog.register_parquet(spark, name, cases.schema, path, parts)
+    # The year that is there already is merged, the later ones are new.
+    for months in ("year = 1994 AND month <= 6", "year = 1994 AND month > 6 OR year > 1994"):
+        catalog.append_partitions(cases.where(months), name)
+    catalog.compact_partitions(spark, name)
+    return spark.table(name).select(*cases.columns)
+
+
 @query
 def pipeline_feed(spark, sf):
     """Second refresh of the tables built from the feed that carries daily changes.

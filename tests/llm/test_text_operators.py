@@ -224,7 +224,7 @@ def test_lines_need_edit_similarity(spark):
 def test_every_scheme_of_blocks_finds_near_prints(spark):
     draw = random.Random(3)
     base = draw.getrandbits(62)
-    rows = [(base,)] + [(base ^ (1 << a) ^ (1 << b) ^ (1 << c),) for a, b, c in [(0, 20, 40), (1, 2, 61), (15, 30, 45)]]
+    rows = [(base,)] + [(base ^ (1 << a) ^ (1 << b),) for a, b in [(0, 20), (1, 61), (15, 45), (22, 23)]]
     df = spark.createDataFrame(rows, "print long").selectExpr("print", "cast(array() as array<bigint>) as ends")
     for _, blocks, agree in lines.SCHEMES:
         parts = lines.with_buckets(df, blocks, agree)
@@ -232,16 +232,42 @@ def test_every_scheme_of_blocks_finds_near_prints(spark):
         assert met.select("r.print").distinct().count() == len(rows)
 
 
-def test_prints_are_majorities_of_different_words(spark):
-    words = [f"w{i}" for i in range(40)]
-    rows = [(" ".join(words[:n]),) for n in range(1, 41)] + [("twice twice once other",)]
-    hashes = spark.createDataFrame([(w,) for w in [*words, "twice", "once", "other"]], "w string")
-    known = {r.w: r.h & (2**64 - 1) for r in hashes.select("w", F.xxhash64("w").alias("h")).collect()}
-    df = spark.createDataFrame([(i, text) for i, (text,) in enumerate(rows)], "doc_id long, text string")
-    for row in lines.line_table(df).collect():
-        own = {known[w] for w in rows[row.key][0].split()}
-        wanted = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in own) > len(own))
-        assert row.print & (2**64 - 1) == wanted
+def test_prints_are_majorities_of_different_words(monkeypatch):
+    monkeypatch.setattr(lines, "WORDS_AT_ONCE", 7)
+    draw = random.Random(1)
+    counts = [draw.randint(1, 30) for _ in range(50)]
+    hashes = [draw.getrandbits(64) for _ in range(sum(counts))]
+    found, at = lines.prints(np.array(hashes, dtype=np.uint64), counts).tolist(), 0
+    for n, number in zip(counts, found, strict=True):
+        own, at = hashes[at : at + n], at + n
+        wanted = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in own) > n)
+        assert number & (2**64 - 1) == wanted
+
+
+def test_words_count_once_in_a_print(spark):
+    df = spark.createDataFrame([(1, "one two three"), (2, "three one two two one one")], "doc_id long, text string")
+    assert len({row.print for row in lines.line_table(df).collect()}) == 1
+
+
+def test_similar_equals_plain_distance():
+    draw = random.Random(2)
+    for _ in range(3000):
+        one = " ".join("".join(draw.choices("abé", k=draw.randint(1, 4))) for _ in range(draw.randint(1, 9)))
+        two = one
+        for _ in range(draw.randint(0, 7)):
+            at = draw.randrange(len(two) + 1)
+            two = two[:at] + draw.choice(["", "a", "b", " ", "x"]) + two[at + draw.randint(0, 2) :]
+        edits = levenshtein(one, two)
+        most = draw.randint(0, 8)
+        assert lines.distance_within(one, two, most) == (edits <= most)
+        share = draw.choice([0.5, 0.8, 0.9])
+        allowed = int(max(len(one), len(two)) * (1 - share) + 1e-9)
+        assert lines.similar(one, two, share) == (edits <= allowed)
+
+
+def test_normal_lines():
+    text = "A_b--C\n\u00a0É,\u2014x1\n\n\u0661\x1f_\u3000z"
+    assert lines.normal_lines(text) == [[b"a", b"b", b"c"], ["é".encode(), b"x1"], [], ["\u0661".encode(), b"z"]]
 
 
 def edited(draw, line, edits):

@@ -22,11 +22,11 @@ _MARKS_PER_PIECE = 64
 # Boundaries that a row is compared with at once.
 _BOUNDS_PER_GROUP = 256
 
-_PIECE, _COPY, _BOUNDS = "__piece", "__copy", "__bounds"
+_PIECE, _COPY, _BOUNDS, _BEFORE = "__piece", "__copy", "__bounds", "__before_all"
 _WHOLE = -1
 
 
-def previous(df, columns, keys, order_by, hot_rows=HOT_ROWS):
+def previous(df, columns, keys, order_by, hot_rows=HOT_ROWS, before=None):
     """Add, for each `{new: source}`, the source value of the row before; NULL on the first."""
     return over_series(
         df,
@@ -35,10 +35,11 @@ def previous(df, columns, keys, order_by, hot_rows=HOT_ROWS):
         lambda window: {new: F.lag(source).over(window) for new, source in columns.items()},
         lookback=1,
         hot_rows=hot_rows,
+        before=before,
     )
 
 
-def daily_delta(df, columns, keys, order_by, clamp=True, hot_rows=HOT_ROWS):
+def daily_delta(df, columns, keys, order_by, clamp=True, hot_rows=HOT_ROWS, before=None):
     """Add, for each `{new: source}`, the change since the row before.
 
     The first row, and any row where either value is missing, gives 0. With
@@ -57,10 +58,11 @@ def daily_delta(df, columns, keys, order_by, clamp=True, hot_rows=HOT_ROWS):
         lambda window: {new: change(source, window) for new, source in columns.items()},
         lookback=1,
         hot_rows=hot_rows,
+        before=before,
     )
 
 
-def moving_avg(df, columns, keys, order_by, rows=7, hot_rows=HOT_ROWS):
+def moving_avg(df, columns, keys, order_by, rows=7, hot_rows=HOT_ROWS, before=None):
     """Add, for each `{new: source}`, the mean of the last `rows` rows.
 
     NULL until `rows` rows are there, and while any of them is NULL.
@@ -77,6 +79,7 @@ def moving_avg(df, columns, keys, order_by, rows=7, hot_rows=HOT_ROWS):
         lambda window: {new: mean(source, window) for new, source in columns.items()},
         lookback=rows - 1,
         hot_rows=hot_rows,
+        before=before,
     )
 
 
@@ -86,21 +89,59 @@ def first_n(df, keys, order_by, n, salts=64):
     Taken in two steps, first within `salts` hash groups of each series, so the
     last step sees at most `salts * n` rows of a series however long it is.
     """
+    return _ranked(df, keys, order_by, order_by, n, salts)
+
+
+def _ranked(df, keys, order, salted_by, n, salts):
     salt, rank = "__salt", "__rank"
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(*order_by), F.lit(salts)))
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(*salted_by), F.lit(salts)))
     for group in ([*keys, salt], keys):
-        window = Window.partitionBy(*group).orderBy(*order_by)
+        window = Window.partitionBy(*group).orderBy(*order)
         salted = salted.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
     return salted.drop(salt, rank)
 
 
-def over_series(df, keys, order_by, build, lookback, hot_rows=HOT_ROWS):
+def last_n(df, keys, order_by, n, salts=64):
+    """The last `n` rows of every series, taken in two steps like the first ones."""
+    return _ranked(df, keys, [F.desc(name) for name in order_by], order_by, n, salts)
+
+
+def tail(df, keys, order_by, rows, before=None):
+    """What later rows need of `df` and of the tail `before` it: the last `rows` rows of every series."""
+    if before is not None:
+        df = df.unionByName(before.select(*df.columns))
+    return last_n(df, keys, order_by, rows)
+
+
+def late(df, before, keys, order_by):
+    """Rows of `df` that do not come after all rows of `before` of their series.
+
+    Values that follow from earlier rows cannot be told for them without the rows after them.
+    """
+    place, last = F.struct(*order_by), "__last"
+    ends = before.groupBy(*[F.col(key).alias(f"__{key}") for key in keys]).agg(F.max(place).alias(last))
+    same = reduce(
+        lambda left, right: left & right, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys]
+    )
+    return df.join(ends, same).where(place <= F.col(last)).select(*df.columns)
+
+
+def over_series(df, keys, order_by, build, lookback, hot_rows=HOT_ROWS, before=None):
     """Add the columns of `build(window)`, a dict of windowed Columns.
 
-    `lookback` is how many rows before its own a column may read. `hot_rows=None`
-    says that every series is known to be short and skips the search for long ones.
+    `lookback` is how many rows before its own a column may read. Rows are counted by key first, in a
+    job of its own that reads the keys alone: where no series is long the plan is one plain window.
+    `hot_rows=None` says that every series is known to be short and skips that. `before` are
+    rows that come before those of `df` (see `tail`).
     """
-    if hot_rows is None:
+    if before is not None:
+        # Rows of before lend their values and are not given back.
+        both = df.withColumn(_BEFORE, F.lit(False)).unionByName(
+            before.select(*df.columns).withColumn(_BEFORE, F.lit(True))
+        )
+        result = over_series(both, keys, order_by, build, lookback, hot_rows)
+        return result.where(~F.col(_BEFORE)).drop(_BEFORE)
+    if hot_rows is None or _hot_keys(df, keys, hot_rows).isEmpty():
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order_by)))
 
     columns = df.columns
@@ -124,19 +165,15 @@ def _cut(df, columns, keys, order_by, hot_rows):
     hash of the row: that chooses where to cut, never what is answered.
     """
     count, place = "__count", "__place"
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(count))
-        .where(F.col(count) > hot_rows)
-        .select(*[F.col(key).alias(f"__{key}") for key in keys])
-    )
+    hot = _hot_keys(df, keys, hot_rows)
     same_key = reduce(
         lambda left, right: left & right,
         [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys],
     )
     every = max(hot_rows // _MARKS_PER_PIECE, 1)
     marks = (
-        df.where(F.pmod(F.xxhash64(*_hashable(df)), F.lit(every)) == 0)
+        # Rows that are equal in these columns stay together anyway.
+        df.where(F.pmod(F.xxhash64(*keys, *order_by), F.lit(every)) == 0)
         .join(hot, same_key, "left_semi")
         .select(*keys, F.struct(*order_by).alias(place))
     )
@@ -171,9 +208,10 @@ def _cut(df, columns, keys, order_by, hot_rows):
     )
 
 
-def _hashable(df):
-    """Columns that a row's hash can be taken of: all but those that hold maps."""
-    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+def _hot_keys(df, keys, hot_rows):
+    """Keys, under other names, of the series with more than `hot_rows` rows."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__count"))
+    return counted.where(F.col("__count") > hot_rows).select(*[F.col(key).alias(f"__{key}") for key in keys])
 
 
 def _rows_before_pieces(pieces, columns, keys, order_by, lookback):

@@ -28,6 +28,8 @@ from daystar.sources.files import read_csv, read_parquet, replace_parquet, write
 SILVER_PARTITIONS = ("state_code", "year", "month", "day")
 SILVER_PARTITIONS_TEXT_KEY = ("year", "month", "day")
 FACT_PARTITIONS = ("state_code",)
+# Rows of a bucket of the facts that are dealt by key, at most.
+BUCKET_ROWS = 2_000_000
 
 _GOLD = {
     "dim_date": (contracts.DIM_DATE, ()),
@@ -130,7 +132,7 @@ def quarantined(spark, base, name):
     return spark.read.parquet(folder).select("raw", "faults")
 
 
-def _silver_folder(spark, base, name):
+def silver_folder(spark, base, name):
     """The folder of a silver table's rows, beside which there may be one of quarantined rows."""
     folder = versions.current(spark, f"{base}/silver/{name}")
     checked = any(child.startswith("status=") for child in versions.children(spark, folder))
@@ -191,7 +193,7 @@ def build_gold_text_key(spark, base):
 def silver_tables(spark, base):
     tables = {}
     for name, schema in _SILVER.items():
-        folder = _silver_folder(spark, base, name)
+        folder = silver_folder(spark, base, name)
         # No row at all may have been kept.
         there = versions.children(spark, folder)
         tables[name] = read_parquet(spark, folder, schema) if there else spark.createDataFrame([], schema)
@@ -212,14 +214,34 @@ def register_tables(spark, base, prefix="daystar"):
     catalog.register_csv(
         spark, f"{bronze}.states_lookup", contracts.BRONZE_LOOKUP, f"{base}/bronze/static"
     )
+    catalog.analyze(spark, f"{bronze}.states_lookup")
     for name, schema in _SILVER.items():
-        path = _silver_folder(spark, base, name)
+        path = silver_folder(spark, base, name)
         parts = layout.partition_columns(spark, path)
         catalog.register_parquet(spark, f"{silver_db}.{name}", schema, path, parts)
     for name, (schema, partition_by) in _GOLD.items():
         catalog.register_parquet(
             spark, f"{gold}.{name}", schema, f"{base}/gold/{name}", partition_by
         )
+        if name.startswith("dim_"):
+            catalog.analyze(spark, f"{gold}.{name}")
+
+
+def bucket_facts(spark, base, prefix="daystar", bucket_rows=BUCKET_ROWS):
+    """Registered copies of both facts, dealt by region and date, that are joined without a shuffle.
+
+    They are for reports that join the facts again and again; the number of buckets follows from
+    the larger one and is a power of two. Returns their names by fact.
+    """
+    catalog.ensure_databases(spark, prefix)
+    gold, keys = gold_tables(spark, base), ["state_code", "date_id"]
+    facts_of = [name for name in _GOLD if name.startswith("fact_")]
+    rows = max(gold[name].count() for name in facts_of)
+    buckets = 1 << max(-(-rows // bucket_rows) - 1, 0).bit_length()
+    names = {name: f"{catalog.database('gold', prefix)}.{name}_by_key" for name in facts_of}
+    for name, table in names.items():
+        catalog.replace_bucketed(gold[name], table, keys, buckets)
+    return names
 
 
 def refresh_feed(

@@ -9,6 +9,8 @@ INITIAL_PARTITIONS = 8000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Rows and sizes that the catalog knows of registered tables decide what is broadcast.
+    "spark.sql.cbo.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Merged partitions get about this much; a task's memory is a multiple of it.

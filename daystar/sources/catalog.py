@@ -56,8 +56,7 @@ def register_parquet(spark, name, schema, path, partition_by=()):
     )
     if partition_by:
         repair(spark, ready)
-    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
-    spark.sql(f"ALTER TABLE {_name(ready)} RENAME TO {_name(name)}")
+    _rename(spark, ready, name)
 
 
 def repair(spark, name):
@@ -72,12 +71,31 @@ def replace_table(df, name):
     to it: a failed job changes nothing, and the query may read the table itself.
     """
     spark = df.sparkSession
-    layer, own = name.rsplit(".", 1)
-    root = f"{spark.catalog.getDatabase(layer).locationUri.rstrip('/')}/{own}"
+    root = _root(spark, name)
     files.replace_parquet(df, root)
     register_parquet(spark, name, df.schema, root)
 
 
+def replace_bucketed(df, name, keys, buckets):
+    """Rebuild a table whose rows are dealt to `buckets` files by `keys`, each in their order.
+
+    Tables with the same buckets are joined on the keys without moving a row. One shuffle
+    brings every bucket to one task, so there is one file per bucket.
+    """
+    spark = df.sparkSession
+    folder = versions.new_version(spark, _root(spark, name))
+    ready = f"{name}_{uuid.uuid4().hex[:8]}"
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    dealt.write.option("path", folder).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(ready)
+    _rename(spark, ready, name)
+    versions.drop_old(spark, _root(spark, name))
+
+
+def analyze(spark, name):
+    """Have the catalog know a table's rows and size, by which the planner decides what to broadcast."""
+    spark.sql(f"ANALYZE TABLE {_name(name)} COMPUTE STATISTICS")
+
+
 def append_partitions(df, name):
     """Add rows to a partitioned table and make their partitions visible; returns how many these are.
 
@@ -99,6 +117,21 @@ def append_partitions(df, name):
     return _write_partitions(df, name, parts, fresh, present)
 
 
+def add_partitions(spark, name, rows, folder):
+    """Make the partitions of `rows` visible, whose files lie below `folder` in the usual places."""
+    parts = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    if parts:
+        specs = [s for s in rows.select(*parts).distinct().collect() if not _is_partition(spark, name, s)]
+        places = _partition_folders(spark, folder, len(parts)) if specs else {}
+        for at in range(0, len(specs), _SPECS_AT_ONCE):
+            added = " ".join(
+                f"PARTITION ({_spec(s)}) LOCATION {_text(places[_values(s)])}"
+                for s in specs[at : at + _SPECS_AT_ONCE]
+            )
+            spark.sql(f"ALTER TABLE {_name(name)} ADD {added}")
+    spark.catalog.refreshTable(name)
+
+
 def compact_partitions(spark, name, file_bytes=128 << 20):
     """Write anew those partitions that have more files than their size needs; returns how many these are.
 
@@ -170,6 +203,18 @@ def _is_partition(spark, name, spec):
     return not spark.sql(f"SHOW PARTITIONS {_name(name)} PARTITION ({_spec(spec)})").isEmpty()
 
 
+def _rename(spark, ready, name):
+    """Give a table that was made ready the name of another one, which goes; files of both stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
+    spark.sql(f"ALTER TABLE {_name(ready)} RENAME TO {_name(name)}")
+
+
+def _root(spark, name):
+    """Folder of a table below its database's."""
+    layer, own = name.rsplit(".", 1)
+    return f"{spark.catalog.getDatabase(layer).locationUri.rstrip('/')}/{own}"
+
+
 def _location(spark, name):
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(name)}").where("col_name = 'Location'")
     return described.first()["data_type"].rstrip("/")

@@ -117,7 +117,7 @@ def partition_columns(spark, path):
     """Partition columns of a Parquet folder, from the names of its first folders."""
     found, place = [], versions.current(spark, path)
     while True:
-        inner = [name for name in versions.children(spark, place) if "=" in name and not name.startswith("version=")]
+        inner = [name for name in versions.children(spark, place) if "=" in name]
         if not inner:
             return found
         found.append(inner[0].partition("=")[0])

@@ -512,6 +512,11 @@ _SELECTS = {
         FROM fact_cases JOIN fact_tests USING (date_id, state_code) JOIN dim_date USING (date_id)
         ORDER BY state_code, full_date
     """,
+    "cases_vs_tests_by_key": f"""
+        SELECT state_code, full_date, new_cases, new_tests, {_POSITIVITY}
+        FROM fact_cases JOIN fact_tests USING (date_id, state_code) JOIN dim_date USING (date_id)
+        ORDER BY state_code, full_date
+    """,
     "cases_vs_tests_of_region": f"""
         SELECT full_date, new_cases, new_tests, {_POSITIVITY}
         FROM fact_cases JOIN fact_tests USING (date_id, state_code) JOIN dim_date USING (date_id)
@@ -577,6 +582,7 @@ _SELECTS = {
         FROM (SELECT DISTINCT state_code, year, month, day FROM dense)
     """,
     "appended_partitions": "SELECT * FROM silver_cases",
+    "appended_days": "SELECT * FROM fact_tests",
     "silver_cases_dirty": "SELECT * FROM silver_cases_dirty",
     "silver_tests_dirty": "SELECT * FROM silver_tests_dirty",
     "fact_cases_dirty": f"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daystar import contracts
 from daystar import functions as fn
 from daystar.operators import lookups, quality, series
-from daystar.plans import dims, facts, marts, pipeline, publish, silver
+from daystar.plans import dims, facts, increments, marts, pipeline, publish, silver
 from daystar.sources import catalog, files, layout, scratch
 from daystar.suite import fixtures as fx
 from daystar.suite import stored
@@ -695,6 +695,16 @@ def cases_vs_tests_of_region(spark, sf):
     )
 
 
+@query
+def cases_vs_tests_by_key(spark, sf):
+    """The same report from facts that are stored dealt by region and date."""
+    base, prefix = scratch.new_folder(spark, "by-key"), _new_prefix()
+    catalog.ensure_databases(spark, prefix, f"{base}/databases")
+    names = pipeline.bucket_facts(spark, stored.base(spark, sf), prefix, bucket_rows=5_000)
+    cases, tests = (spark.table(names[f"fact_{name}_state_daily"]) for name in ("cases", "testing"))
+    return marts.cases_vs_tests(cases, tests, _dim_date(spark, sf))
+
+
 @query
 def preview_dim_date(spark, sf):
     return marts.preview(_dim_date(spark, sf))
@@ -885,6 +895,23 @@ def pipeline_default(spark, sf):
     return fact.select(*contracts.FACT_CASES.fieldNames())
 
 
+@query
+def appended_days(spark, sf):
+    """A star of the days before 1998, to which the later days are appended in two steps; its testing fact."""
+    base = scratch.new_folder(spark, "appended")
+    feeds = {"cases": fx.cases(spark, sf), "tests": fx.tests(spark, sf)}
+    files.write_csv(fx.lookup(spark, sf), f"{base}/bronze/static")
+    # Dates are texts of either form here; their digits sort alike.
+    day = F.translate("date", "-", "")
+    spans = {"bronze": day < "19980101", "first": day.between("19980101", "19980630"), "second": day > "19980630"}
+    for folder, span in spans.items():
+        for name, feed in feeds.items():
+            files.write_csv(feed.where(span), f"{base}/{folder}/{name}")
+    pipeline.run(spark, base, register=False)
+    increments.append_days(spark, base, f"{base}/first")
+    return increments.append_days(spark, base, f"{base}/second")["fact_testing_state_daily"]
+
+
 @query
 def layout_by_day(spark, sf):
     """Folders and files of a table with a folder per region and day, as planned: one file each."""

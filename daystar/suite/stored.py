@@ -20,20 +20,21 @@ def write_bronze(spark, sf_dir, base):
     files.write_csv(fx.lookup(spark, sf_dir), f"{base}/bronze/static")
 
 
-def _base(spark, sf_dir):
+def base(spark, sf_dir):
+    """Folder of the stored star of these tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BASES:
-        base = scratch.new_folder(spark, "star")
-        write_bronze(spark, sf_dir, base)
-        pipeline.build_silver(spark, base, ["state_code"])
-        pipeline.build_gold(spark, base)
-        _BASES[key] = base
+        folder = scratch.new_folder(spark, "star")
+        write_bronze(spark, sf_dir, folder)
+        pipeline.build_silver(spark, folder, ["state_code"])
+        pipeline.build_gold(spark, folder)
+        _BASES[key] = folder
     return _BASES[key]
 
 
 def silver(spark, sf_dir, name):
-    return pipeline.silver_tables(spark, _base(spark, sf_dir))[name]
+    return pipeline.silver_tables(spark, base(spark, sf_dir))[name]
 
 
 def gold(spark, sf_dir, name):
-    return pipeline.gold_tables(spark, _base(spark, sf_dir))[name]
+    return pipeline.gold_tables(spark, base(spark, sf_dir))[name]

@@ -21,40 +21,55 @@ GROWTH = 16
 TABLES = 3
 #: Peeling looks at one table after the other, this many times in all.
 TURNS = 12
+#: Cells per table that differences are looked for in at first. Empty cells have no row, so
+#: larger tables cost nothing but their name.
+FIRST_CELLS = 64
+#: Digests that a task sketches and peels, about; each becomes several rows there.
+TASK_DIGESTS = 100_000
 # Documents of neighbouring ids that are handed to one window, as a power of two.
 _BLOCK_BITS = 6
-_GROUP_BITS = 10
-#: Paragraphs end at line breaks and, within a line, after a sentence whose next one
-#: starts with A to M, so a long line gives several.
-PARAGRAPH_END = r"\n|(?<=[.!?]) (?=[A-M])"
+# Row numbers of a sorted partition, in the numbers that `monotonically_increasing_id` gives.
+_PARTITION_BITS = 33
+#: Paragraphs end at line breaks and, within a line, after every sentence; scripts that set no blank
+#: after a sentence end it with marks of their own.
+PARAGRAPH_END = r"\n|(?<=[.!?…؟।۔]) +|(?<=[。！？])"
+#: A paragraph beyond this many characters is cut at its smaller marks too, in any script.
+LONG_PARAGRAPH = 1000
+CLAUSE_END = r"(?<=[,;:،؛]) +|(?<=[、，；：])"
 
 
 def digests(text):
-    """The different paragraph digests of a text column, as an array of longs."""
-    pieces = F.filter(F.split(text, PARAGRAPH_END), lambda p: p != "")
-    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
+    """The different paragraph digests of a text column, as an array of longs.
+
+    Where a text is cut follows from the characters around, so what an edit leaves alone is cut as before.
+    """
+    pieces = F.flatten(
+        F.transform(
+            F.split(text, PARAGRAPH_END),
+            lambda p: F.when(F.length(p) > LONG_PARAGRAPH, F.split(p, CLAUSE_END)).otherwise(F.array(p)),
+        )
+    )
+    return F.array_distinct(F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
-def followers(ids, levels=2):
+def followers(ids):
     """(id, next) of different longs in `ids` (column id): the next greater one, or null.
 
-    Ids are grouped by their leading bits, so a window sees a bounded range of ids; the
-    last of a group is followed by the first of the next group, found in the same way. Only
-    after two levels, when a group stands for 2^20 neighbouring ids, all groups meet.
+    Ids are sorted into ranges taken from the data, and numbered as they are written; the next one has
+    the next number. Only the last of a range is followed by the first of a later one: these
+    are as many as the sort has partitions, and meet in one window.
     """
-    if levels == 0:
-        return ids.withColumn("next", F.lead("id").over(Window.partitionBy().orderBy("id")))
-    grouped = ids.withColumn("group", F.shiftright("id", _GROUP_BITS))
-    inner = grouped.withColumn(
-        "next", F.lead("id").over(Window.partitionBy("group").orderBy("id"))
+    ordered = stored(
+        ids.select("id").orderBy("id").select("id", F.monotonically_increasing_id().alias("at")), "ordered-ids"
     )
-    heads = grouped.groupBy("group").agg(F.min("id").alias("head"))
-    after = followers(heads.select(F.col("group").alias("id")), levels - 1)
-    first = after.join(heads.select(F.col("group").alias("next"), "head"), "next").select(
-        F.col("id").alias("group"), F.col("head").alias("first")
-    )
-    return inner.join(first, "group", "left").select(
-        "id", F.coalesce("next", "first").alias("next")
+    after = ordered.select((F.col("at") - 1).alias("at"), F.col("id").alias("next"))
+    ranges = ordered.groupBy(F.shiftright("at", _PARTITION_BITS).alias("range")).agg(F.min("id").alias("head"))
+    heads = ranges.select("range", F.lead("head").over(Window.partitionBy().orderBy("head")).alias("head"))
+    return (
+        ordered.join(after, "at", "left")
+        .withColumn("range", F.shiftright("at", _PARTITION_BITS))
+        .join(heads, "range", "left")
+        .select("id", F.coalesce("next", "head").alias("next"))
     )
 
 
@@ -158,7 +173,10 @@ def fingerprints(texts, *keys):
         F.lpad(F.hex("check"), 16, "0"),
     )
     return cells.groupBy(*keys).agg(
-        F.base64(F.unhex(F.array_join(F.array_sort(F.collect_list(written)), ""))).alias("fingerprint")
+        # Written without the line breaks that base64 may set.
+        F.translate(
+            F.base64(F.unhex(F.array_join(F.array_sort(F.collect_list(written)), ""))), "\r\n", ""
+        ).alias("fingerprint")
     )
 
 
@@ -206,7 +224,13 @@ def _peeled(cells, size, *keys):
     return cells
 
 
-def differences(pairs, cells=CELLS, by_id=None):
+def by_row(table):
+    """Rows of `table` (id, own, changed, after) dealt by id, so many to a task that it can peel them in memory."""
+    total = table.agg(F.sum(F.size("own") + F.size("changed") + F.size("after"))).first()[0] or 0
+    return table.repartition(int(total) // TASK_DIGESTS + 1, "id")
+
+
+def differences(pairs, cells=FIRST_CELLS, by_id=None):
     """id, pair, left and right: how many digests only one of the two sides has.
 
     `pairs` has id, pair and the arrays `x` and `y`. Sketches of x and y are subtracted and
@@ -271,7 +295,7 @@ def compare(docs):
         F.coalesce("text", F.lit("")).alias("text"),
     )
     table = stored(versions(keyed), "versions")
-    rows = table.repartition("id")
+    rows = by_row(table)
     sides = rows.select(
         "id",
         F.explode(

@@ -97,12 +97,12 @@ def usable(vectors):
 
 
 def classes(vectors):
-    """label, embedding, rep and copies: equal vectors of a label as one row.
+    """label, embedding, rep, least and copies: equal vectors of a label as one row.
 
-    `rep` is the least vec_id; copies beyond it only count.
+    `rep` is the number of one of their rows, `least` their least vec_id; null if none has one.
     """
     return vectors.groupBy("label", "embedding").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("copies")
+        F.min("row").alias("rep"), F.min("vec_id").alias("least"), F.count("*").alias("copies")
     )
 
 
@@ -260,38 +260,48 @@ def near_duplicates(vectors, least=0.98):
     precision, is at least `least`. Null, zero and non-finite vectors, and those without a
     label, link with nothing and are their own component. Equal vectors of a label are one
     class: its copies link with each other and share its other links. Vectors of different
-    length never link. vec_id is unique; an empty table gives no rows.
+    length never link. Rows that repeat a vec_id, or have none, are vectors of their own and have a
+    row each. A component goes by its least vec_id, and has none if no row in it does; `kept` says
+    whether a row's vec_id is that one, two nulls being the same. Other columns are not read; an
+    empty table gives no rows.
     """
-    good = usable(vectors.select("vec_id", "embedding", "label"))
+    # Rows are told apart by a number of their own, which stays once it is written.
+    numbered = stored(
+        vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding", "label"), "vectors"
+    )
+    good = usable(numbered)
     reps = stored(classes(good), "vector-classes")
     found = stored(filters(reps, least), "vector-filters")
     edges = stored(candidate_edges(reps, found, least), "vector-edges")
     tied = components(edges)
     members = stored(
-        reps.select("rep")
+        reps.select("rep", "least")
         .join(tied, F.col("rep") == F.col("node"), "left")
-        .select("rep", F.coalesce("component", "rep").alias("component")),
+        .select("rep", "least", F.coalesce("component", "rep").alias("component")),
         "vector-components",
     )
-    counts = link_counts(reps, members, least)
+    names = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    counts = link_counts(reps, members.drop("least"), least)
     classed = (
-        reps.join(members, "rep")
+        reps.drop("least")
+        .join(members.drop("least"), "rep")
+        .join(names, "component")
         .join(counts, "rep", "left")
         .select(
             "label",
             "embedding",
-            "component",
+            "component_id",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
         )
     )
-    linked = good.join(classed, ["label", "embedding"]).select("vec_id", "n", "component")
+    linked = good.join(classed, ["label", "embedding"]).select("row", "n", "component_id")
     return (
-        vectors.select("vec_id")
-        .join(linked, "vec_id", "left")
+        numbered.select("row", "vec_id")
+        .join(linked, "row", "left")
         .select(
             "vec_id",
             F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
+            F.when(F.col("n").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
-        .withColumn("kept", F.col("vec_id") == F.col("component_id"))
+        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

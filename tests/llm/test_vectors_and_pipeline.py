@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -61,6 +62,24 @@ def test_vectors(spark):
     assert caps.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Every row is a vector of its own; links are mutual, whatever the ids."""
+    one, other, far = [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.001], [4.0, -3.0, 2.0, -1.0]
+    rows = [(1, one), (1, one), (2, other), (None, other), (None, far), (None, far), (None, None), (7, None)]
+    df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, n string")
+    found = Counter(tuple(row) for row in caps.near_duplicates(df).collect())
+    assert found == Counter(
+        {
+            (1, 3, 1, True): 2,
+            (2, 3, 1, False): 1,
+            (None, 3, 1, False): 1,
+            (None, 1, None, True): 2,
+            (None, 0, None, True): 1,
+            (7, 0, 7, True): 1,
+        }
+    )
+
+
 def test_tiles_cover_every_pair(spark, monkeypatch):
     monkeypatch.setattr(caps, "TILE", 4)
     monkeypatch.setattr(caps, "PIECE", 4)

@@ -1,20 +1,26 @@
 """Secret scans: fixed patterns, and character Markov models compared by likelihood.
 
-Two order-1 character models, one of random strings and one of ordinary words and
-identifiers, are trained on labelled samples: what the fixed patterns find is random,
-every shorter run of token characters is ordinary. A long run that no pattern covers is
-a further span when the log-likelihood ratio of the two models says so.
+Order-1 character models of random strings and of ordinary ones are trained on labelled
+samples. Random are strings of the usual alphabets and what the fixed patterns find in the documents; ordinary
+are identifiers put together from words, and the documents' shorter runs of token
+characters. A long run that no pattern covers is a further span when the likeliest random model
+is so much likelier than the likeliest ordinary one.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from daystar.llm.secret_samples import ALPHABETS, labelled
+
 #: Kinds in the order that ties at one start follow.
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -38,6 +44,11 @@ _STATE[[ord(c) for c in TOKEN]] = np.arange(1, STATES)
 LEAST = 16
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _LETTER = re.compile(r"[A-Za-z]")
+#: Labelled strings of each kind that are drawn for training.
+SAMPLES = 20_000
+#: Log-likelihood ratio that a run must exceed. On 20,000 held-out strings of each kind, of 20 characters and
+#: more and with words that training has not seen, precision and recall are 1.000.
+LIMIT = 10.0
 
 
 def base_spans(text):
@@ -84,23 +95,49 @@ def count_pairs(text):
 
 @dataclass(frozen=True)
 class Model:
-    """Log-likelihood ratio of every step from one state to the next, random to ordinary."""
+    """Log probabilities of a state after another, for each random and each ordinary model."""
 
-    ratio: np.ndarray
+    random: tuple
+    ordinary: tuple
 
     def score(self, state):
-        return float(self.ratio[state[:-1], state[1:]].sum())
+        """Log-likelihood ratio of the likeliest random model to the likeliest ordinary one."""
+        before, after = state[:-1], state[1:]
+        best = [max(float(model[before, after].sum()) for model in kind) for kind in (self.random, self.ordinary)]
+        return best[0] - best[1]
+
+
+def _fitted(counts, smoothing, uniform):
+    """Log probabilities of one model from its counts of neighbouring states.
+
+    After a character that a sample has seldom or never, its usual characters count. `uniform` is the
+    share that is the same for every character.
+    """
+    counts = counts.reshape(STATES, STATES)[1:, 1:].astype(float)
+    single = counts.sum(axis=0) + smoothing
+    steps = counts + smoothing * (STATES - 1) * (single / single.sum())
+    steps /= steps.sum(axis=1, keepdims=True)
+    fitted = np.zeros((STATES, STATES))
+    fitted[1:, 1:] = np.log((1 - uniform) * steps + uniform / (STATES - 1))
+    return fitted
+
 
+@lru_cache(maxsize=1)
+def sample_counts():
+    """Counts of neighbouring states in the labelled sample, by alphabet, and by None for identifiers."""
+    counts = {name: np.zeros(STATES * STATES, dtype=np.int64) for name in (*ALPHABETS, None)}
+    for text, name in labelled(SAMPLES, LEAST, seed=11):
+        state = states(text)
+        np.add.at(counts[name], state[:-1] * STATES + state[1:], 1)
+    return counts
 
-def train(docs, text="text", smoothing=1.0, uniform=0.3):
-    """Fit both models on all rows of `docs`.
+
+def train(docs, text="text", smoothing=1.0, uniform=0.02):
+    """Fit the models on the labelled sample and on all rows of `docs`.
 
     Tasks add up their counts, Spark adds up those of the tasks: the driver gets 2 x 68 x 68
-    numbers at any size. `uniform` is the share of the random model that is the same for
-    every character, so random strings of another alphabet than the samples' are still
-    likelier there; `smoothing` counts per character are spread as each sample's characters
-    are. Null and empty texts count
-    nothing. Without samples both models are uniform and no ratio ever reaches a limit.
+    numbers at any size. `smoothing` counts per character are spread as each sample's characters
+    are. Null and empty texts count nothing; without any the labelled sample alone decides.
     """
     cells = 2 * STATES * STATES
 
@@ -125,40 +162,39 @@ def train(docs, text="text", smoothing=1.0, uniform=0.3):
     counts = np.zeros(cells)
     for row in counted:
         counts[row.cell] = row.n
-    counts = counts.reshape(2, STATES, STATES)[:, 1:, 1:]
-    # After a character that a sample has seldom or never, its usual characters count.
-    single = counts.sum(axis=1) + smoothing
-    single /= single.sum(axis=1, keepdims=True)
-    steps = counts + smoothing * (STATES - 1) * single[:, None, :]
-    steps /= steps.sum(axis=2, keepdims=True)
-    random = (1 - uniform) * steps[0] + uniform / (STATES - 1)
-    ratio = np.zeros((STATES, STATES))
-    if counts[0].any() and counts[1].any():
-        ratio[1:, 1:] = np.log(random) - np.log(steps[1])
-    return Model(ratio)
-
-
-def markov_spans(text, model, base, limit):
-    """Runs of `LEAST` or more token characters outside `base` that are likelier random.
-
-    The log-likelihood ratio must exceed `limit` per step, so a run of 16 needs 15 times that.
-    """
+    found, shorter = counts.reshape(2, STATES * STATES)
+    sample = sample_counts()
+    random, ordinary = [sample[name] for name in ALPHABETS], [sample[None]]
+    if found.any():
+        random.append(found)
+    if shorter.any():
+        # On top of the identifiers, so that a few documents do not make anything look ordinary.
+        ordinary.append(shorter + sample[None])
+    return Model(
+        *(tuple(_fitted(own, smoothing, uniform) for own in kind) for kind in (random, ordinary))
+    )
+
+
+def markov_spans(text, model, base, limit=LIMIT):
+    """Runs of `LEAST` or more token characters outside `base` whose log-likelihood ratio exceeds `limit`."""
     found = []
     taken = sorted((start, end) for start, end, _, _ in base)
+    starts, ends = [start for start, _ in taken], list(accumulate((end for _, end in taken), max))
     for run in _RUN.finditer(text):
         start, end = run.span()
         # Card and phone numbers are as random as keys, and no secrets of this kind.
         if not _LETTER.search(run.group()):
             continue
-        if any(s < end and start < e for s, e in taken):
+        before = bisect_left(starts, end)
+        if before and ends[before - 1] > start:
             continue
         state = _STATE[np.frombuffer(run.group().encode("ascii"), np.uint8)]
-        if model.score(state) > limit * (len(state) - 1):
+        if model.score(state) > limit:
             found.append((start, end, 3, start))
     return found
 
 
-def spans(text, model, limit=1.5):
+def spans(text, model, limit=LIMIT):
     """All spans of a text as (start, end, kind), by start and kind."""
     base = base_spans(text)
     found = base + markov_spans(text, model, base, limit)
@@ -168,7 +204,7 @@ def spans(text, model, limit=1.5):
 _SPAN = "array<struct<kind: string, start: int, end: int>>"
 
 
-def scan(docs, model, text="text", keep=("doc_id",), limit=1.5):
+def scan(docs, model, text="text", keep=("doc_id",), limit=LIMIT):
     """Columns `keep` and `spans`, an array of (kind, start, end), for every row of `docs`.
 
     Offsets are code points of the whole text, the end exclusive; the array is ordered by

@@ -6,13 +6,14 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from daystar.llm import bpe, fingerprints, licenses, lines, mixing, quality, repeats, secrets, simhash
+from daystar.llm import bpe, fingerprints, licenses, lines, mixing, quality, repeats, secret_samples, secrets, simhash
 from daystar.llm.license_texts import KNOWN
 from daystar.llm.oracles import ORACLES
 from daystar.llm.queries import PATTERN, RANKS
@@ -490,9 +491,53 @@ def test_secrets(spark):
     assert all(found[i].n_markov == 0 for i, _ in prose_rows)
 
 
-def test_secrets_without_samples(spark, nothing):
+ORDINARY = """
+AbstractSingletonProxyFactoryBean /usr/share/common-licenses/GPL org/apache/spark/sql/execution
+node_modules/express/lib utf8_general_ci_unicode x86_64-unknown-linux-gnu SPDX-License-Identifier
+__builtin_expect_with 2024-01-15T10-30-00Z getElementsByClassName java/util/concurrent/atomic
+CONFIG_NETFILTER_XT_MATCH pthread_mutex_destroy Content-Security-Policy test_should_return_value
+""".split()
+
+
+def test_secrets_of_held_out_samples(spark, nothing):
+    """Without documents the labelled sample decides; held-out strings have words it does not have."""
+    model = secrets.train(nothing)
+    found = {True: [], False: []}
+    for text, alphabet in secret_samples.labelled(4000, 20, seed=5, held_out=True):
+        found[alphabet is not None].append(bool(secrets.markov_spans(text, model, [])))
+    hits, false = sum(found[True]), sum(found[False])
+    assert hits >= 0.98 * len(found[True]) and false <= 0.01 * len(found[False])
+    assert hits / (hits + false) >= 0.98
+
+
+def test_ordinary_names_are_no_secrets(spark, nothing):
+    model = secrets.train(nothing)
+    assert [name for name in ORDINARY if secrets.spans(name, model)] == []
+    rows = [(1, " ".join(ORDINARY), "x")] * 2 + [(None, "see ghq7Zk2LmQ9xR7tYvB3nW5cD1eF4gH6jK0", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    result = secrets.report(secrets.scan(df, secrets.train(df))).collect()
+    assert sorted((r.doc_id or 0, r.n_markov) for r in result) == [(0, 1), (1, 0), (1, 0)]
+
+
+def test_spans_next_to_base_spans(nothing):
+    model = secrets.train(nothing)
+    key = "ghq7Zk2LmQ9xR7tYvB3nW5cD1eF4gH6jK0"
+    text = f"password={key} {key} token: x{key} {'0123456789abcdef' * 2} {key}"
+    base = secrets.base_spans(text)
+    wanted = [
+        run.span() for run in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text)
+        if all(end <= run.start() or start >= run.end() for start, end, *_ in base)
+    ]
+    assert [span[:2] for span in secrets.markov_spans(text, model, base)] == wanted and len(wanted) == 2
+
+
+def test_many_spans_in_one_text(nothing):
+    """A text of 10^5 base spans and as many other runs is merged, not compared pair by pair."""
     model = secrets.train(nothing)
-    assert not model.ratio.any()
+    text = "token=abcdefgh1 internationalization_of_things " * 100_000
+    started = time.monotonic()
+    assert len(secrets.spans(text, model)) == 100_000
+    assert time.monotonic() - started < 30
 
 
 def test_licenses(spark):
@@ -564,4 +609,4 @@ def test_oracles_are_registered():
     from daystar.llm.queries import QUERIES
 
     assert set(ORACLES) <= set(QUERIES)
-    assert [int(name[2:].split("_")[0]) for name in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))

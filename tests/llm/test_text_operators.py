@@ -234,10 +234,9 @@ def test_every_scheme_of_blocks_finds_near_prints(spark):
         assert met.select("r.print").distinct().count() == len(rows)
 
 
-def test_prints_are_majorities_of_different_words(monkeypatch):
-    monkeypatch.setattr(lines, "WORDS_AT_ONCE", 7)
+def test_prints_are_majorities_of_different_words():
     draw = random.Random(1)
-    counts = [draw.randint(1, 30) for _ in range(50)]
+    counts = [draw.randint(1, 30) for _ in range(50)] + [255, 256, 1000, 1]
     hashes = [draw.getrandbits(64) for _ in range(sum(counts))]
     found, at = lines.prints(np.array(hashes, dtype=np.uint64), counts).tolist(), 0
     for n, number in zip(counts, found, strict=True):

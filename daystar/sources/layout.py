@@ -20,7 +20,7 @@ LEAST_ROWS = 100_000
 #: Rows of a file, about; also what one task writes.
 FILE_ROWS = 4_000_000
 
-_BIN, _FILES, _PART = "__bin", "__files", "__part"
+_BIN, _FILES, _PART, _RANGE = "__bin", "__files", "__part", "range"
 
 
 def partition_sizes(df, keys):
@@ -113,6 +113,39 @@ def replace_planned(df, path, keys, least_rows=LEAST_ROWS, file_rows=FILE_ROWS,
     return keys
 
 
+def replace_ranges(df, path, key, range_rows=FILE_ROWS):
+    """Write a table as folders of neighbouring `key` values, in order, nulls last; returns how many.
+
+    What is asked of its first rows is then answered from its first folder (see `first_rows`). Ranges are
+    cut at sampled values, so they hold about `range_rows` rows; equal values stay together.
+    """
+    spark = df.sparkSession
+    ranges = max(-(-df.count() // range_rows), 1)
+    in_order = F.asc_nulls_last(key)
+    placed = df.repartitionByRange(ranges, in_order).withColumn(_RANGE, F.spark_partition_id())
+    folder = versions.new_version(spark, path)
+    files.write_plain(placed.sortWithinPartitions(_RANGE, in_order), folder, [_RANGE])
+    versions.drop_old(spark, path)
+    return ranges
+
+
+def first_rows(spark, path, schema, key, n=10):
+    """The first `n` rows of a table in ranges, in key order, with the columns of `schema`; reads as many ranges as hold them.
+
+    Ranges are named by a listing of one folder; rows of the first ones are counted from the descriptions
+    of their files, so what is read does not grow with the table.
+    """
+    folder = versions.current(spark, path)
+    names = [name for name in versions.children(spark, folder) if name.startswith(f"{_RANGE}=")]
+    places = [f"{folder}/{name}" for name in sorted(names, key=lambda name: int(name.partition("=")[2]))]
+    some = 1
+    while some < len(places) and spark.read.schema(schema).parquet(*places[:some]).count() < n:
+        some *= 2
+    # A table without rows has no ranges.
+    rows = spark.read.schema(schema).parquet(*places[:some]) if places else spark.createDataFrame([], schema)
+    return rows.orderBy(F.asc_nulls_last(key)).limit(n)
+
+
 def partition_columns(spark, path):
     """Partition columns of a Parquet folder, from the names of its first folders."""
     found, place = [], versions.current(spark, path)

@@ -523,6 +523,7 @@ _SELECTS = {
         WHERE state_code = '{REGION}' ORDER BY full_date
     """,
     "preview_dim_date": "SELECT * FROM dim_date ORDER BY date_id LIMIT 10",
+    "preview_ranges": "SELECT * FROM fact_cases ORDER BY date_id, state_code LIMIT 25",
     "null_violations": "SELECT * FROM silver_cases_kept WHERE state_code IS NULL",
     "too_long": "SELECT * FROM nation WHERE length(n_name) > 8",
     "negative_deltas": "SELECT * FROM deltas WHERE delta < 0",

@@ -710,6 +710,15 @@ def preview_dim_date(spark, sf):
     return marts.preview(_dim_date(spark, sf))
 
 
+@query
+def preview_ranges(spark, sf):
+    """The first rows by date and region of a fact that is laid out in ranges of dates."""
+    path = scratch.new_folder(spark, "ranges")
+    dated = _fact_cases(spark, sf).withColumn("place", F.struct("date_id", "state_code"))
+    layout.replace_ranges(dated, path, "place", range_rows=1000)
+    return layout.first_rows(spark, path, dated.schema, "place", n=25).drop("place")
+
+
 # Feeds with missing, malformed and oddly spelt fields
 
 

@@ -107,3 +107,25 @@ def test_default_job_folds_and_registers(spark):
         table = spark.table(name).select(*silver.columns)
         assert sorted(map(tuple, table.collect())) == rows[-1]
     assert rows[0] == rows[1]
+
+
+def test_first_rows_read_the_first_ranges_only(spark):
+    """Ten times as many rows: the same ten are read from as many files, of about the same size."""
+    read = []
+    for rows in (20_000, 200_000):
+        path = scratch.new_folder(spark, "ranges")
+        df = spark.range(rows).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+        assert layout.replace_ranges(df, path, "k", range_rows=1000) == rows // 1000
+        found = layout.first_rows(spark, path, df.schema, "k", n=10)
+        assert [row.k for row in found.collect()] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 11]
+        read.append(found.inputFiles())
+        assert layout.first_rows(spark, path, df.schema, "k", n=5000).count() == 5000
+    assert len(read[0]) == len(read[1]) == 1
+
+
+def test_first_rows_of_few(spark):
+    df = spark.createDataFrame([(None, 1), (2, 2), (1, 3)], "k int, v int")
+    for rows, wanted in ((df, [1, 2, None]), (df.limit(0), [])):
+        path = scratch.new_folder(spark, "ranges")
+        layout.replace_ranges(rows, path, "k")
+        assert [row.k for row in layout.first_rows(spark, path, df.schema, "k").collect()] == wanted

@@ -234,15 +234,15 @@ def test_every_scheme_of_blocks_finds_near_prints(spark):
         assert met.select("r.print").distinct().count() == len(rows)
 
 
-def test_prints_are_majorities_of_different_words():
-    draw = random.Random(1)
-    counts = [draw.randint(1, 30) for _ in range(50)] + [255, 256, 1000, 1]
-    hashes = [draw.getrandbits(64) for _ in range(sum(counts))]
-    found, at = lines.prints(np.array(hashes, dtype=np.uint64), counts).tolist(), 0
-    for n, number in zip(counts, found, strict=True):
-        own, at = hashes[at : at + n], at + n
-        wanted = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in own) > n)
-        assert number & (2**64 - 1) == wanted
+def test_prints_are_majorities_of_different_words(spark):
+    """All words of a line up to 63 different ones, and the 63 of the least hashes beyond."""
+    rows = [" ".join(f"w{i}" for i in range(n)) for n in (*range(1, 41), 63, 64, 300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for row in lines.line_table(df).collect():
+        signed = [h - (h >> 63 << 64) for h in {xxhash.xxh64_intdigest(w, 42) for w in rows[row.key].split()}]
+        own = [h & (1 << 64) - 1 for h in sorted(signed)[: lines.WORDS]]
+        wanted = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in own) > len(own))
+        assert row.print & (1 << 64) - 1 == wanted
 
 
 def test_words_count_once_in_a_print(spark):
@@ -250,25 +250,29 @@ def test_words_count_once_in_a_print(spark):
     assert len({row.print for row in lines.line_table(df).collect()}) == 1
 
 
-def test_similar_equals_plain_distance():
-    draw = random.Random(2)
-    for _ in range(3000):
+def test_verified_pairs_equal_plain_distance(spark):
+    draw, rows = random.Random(2), []
+    for at in range(1200):
         one = " ".join("".join(draw.choices("abé", k=draw.randint(1, 4))) for _ in range(draw.randint(1, 9)))
         two = one
         for _ in range(draw.randint(0, 7)):
-            at = draw.randrange(len(two) + 1)
-            two = two[:at] + draw.choice(["", "a", "b", " ", "x"]) + two[at + draw.randint(0, 2) :]
-        edits = levenshtein(one, two)
-        most = draw.randint(0, 8)
-        assert lines.distance_within(one, two, most) == (edits <= most)
-        share = draw.choice([0.5, 0.8, 0.9])
-        allowed = int(max(len(one), len(two)) * (1 - share) + 1e-9)
-        assert lines.similar(one, two, share) == (edits <= allowed)
-
-
-def test_normal_lines():
+            place = draw.randrange(len(two) + 1)
+            two = two[:place] + draw.choice(["", "a", "b", " ", "x"]) + two[place + draw.randint(0, 2) :]
+        rows += [(2 * at, one), (2 * at + 1, two)]
+    texts_of = spark.createDataFrame(rows, "line long, text string")
+    pairs = spark.range(1200).selectExpr("2 * id as line", "2 * id + 1 as line2", "false as settled")
+    for share in (0.5, 0.8, 0.9):
+        found = {row.line // 2 for row in lines._verified(pairs, texts_of, share).collect()}
+        for at in range(1200):
+            one, two = rows[2 * at][1], rows[2 * at + 1][1]
+            allowed = int(max(len(one), len(two)) * (1 - share) + 1e-9)
+            assert (at in found) == (levenshtein(one, two) <= allowed)
+
+
+def test_normalised_lines(spark):
     text = "A_b--C\n\u00a0É,\u2014x1\n\n\u0661\x1f_\u3000z"
-    assert lines.normal_lines(text) == [[b"a", b"b", b"c"], ["é".encode(), b"x1"], [], ["\u0661".encode(), b"z"]]
+    df = spark.createDataFrame([(text,)], "text string").select(lines.normalised(F.col("text")).alias("n"))
+    assert [line.strip() for line in df.first().n.split("\n")] == ["a b c", "é x1", "", "\u0661 z"]
 
 
 def edited(draw, line, edits):

@@ -76,8 +76,9 @@ def followers(ids):
 def with_next(docs):
     """id, text and next_text of every document; the last one's next is the first.
 
-    Rows that repeat an id follow each other in the order of their texts. Neighbours in a block of ids come together by one shuffle;
-    only the first text of every block is sent a second time, to the block before it.
+    Rows that repeat an id follow each other in the order of their texts. Neighbours in a block of ids come
+    together by one shuffle. The first text of every block, found before anything is shuffled,
+    is sent a second time, to the block before it.
     """
     blocked = docs.withColumn("block", F.shiftright("id", _BLOCK_BITS))
     in_block = Window.partitionBy("block").orderBy("id", "text")
@@ -89,19 +90,16 @@ def with_next(docs):
         F.lead("id").over(in_block).isNull().alias("last"),
     )
     heads = stored(
-        blocked.select("block", "id").groupBy("block").agg(F.min("id").alias("head")), "heads"
+        blocked.groupBy("block").agg(F.min(F.struct("id", "text")).alias("head")).select("block", "head.text"),
+        "heads",
     )
     after = followers(heads.select(F.col("block").alias("id")))
     first = heads.agg(F.min("block")).first()[0]
     following = after.select(
         F.col("id").alias("of"), F.coalesce("next", F.lit(first).cast("long")).alias("block")
     )
-    borrowed = (
-        heads.join(following, "block")
-        .select("of", F.col("head").alias("id"))
-        .join(docs, "id")
-        .groupBy(F.col("of").alias("block"))
-        .agg(F.min("text").alias("borrowed"))
+    borrowed = heads.join(following, "block").select(
+        F.col("of").alias("block"), F.col("text").alias("borrowed")
     )
     return rows.join(borrowed, "block", "left").select(
         "id", "text", F.when(F.col("last"), F.col("borrowed")).otherwise(F.col("next_text")).alias("next_text")

@@ -1,0 +1,73 @@
+"""Repeated rows, rows without an id, nulls and clashing columns, operator by operator."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+
+from daystar.llm import bpe, licenses, quality, secrets, simhash
+from daystar.llm.license_texts import KNOWN
+from daystar.llm.queries import PATTERN, RANKS
+
+MIT = next(text for name, text in KNOWN if name == "MIT")
+TEXTS = [(1, "same words here again"), (1, "same words here again"), (None, "same words here again"), (None, None), (2, "")]
+# Columns named as the operators name theirs.
+CLASHES = ("ids", "text2", "spans", "score", "fingerprint", "component_id", "row", "key")
+SCHEMA = "doc_id long, text string, " + ", ".join(f"{name} string" for name in CLASHES)
+
+
+@pytest.fixture
+def rows(spark):
+    def build(*texts):
+        return spark.createDataFrame([(*row, *CLASHES) for row in texts], SCHEMA)
+
+    return build
+
+
+def test_bpe(rows):
+    encoding = bpe.load(RANKS, PATTERN)
+    wanted = Counter()
+    for doc, text in TEXTS:
+        ids = encoding.encode_ordinary(text or "")
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        wanted[doc, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()] += 1
+    assert Counter(tuple(row) for row in bpe.digests(rows(*TEXTS), RANKS, PATTERN).collect()) == wanted
+
+
+def test_bpe_slices(rows, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_ROWS", 2)
+    found = bpe.digests(rows(*[(i, f"text {i}") for i in range(7)]), RANKS, PATTERN).collect()
+    assert sorted(row.doc_id for row in found) == list(range(7))
+
+
+def test_simhash(rows):
+    found = simhash.near_duplicates(rows(*TEXTS, (3, "other words than those"))).collect()
+    assert len(found) == 6
+    same = {row.fingerprint for row in found if row.doc_id == 1}
+    assert len(same) == 1 and {row.component_id for row in found if row.fingerprint in same} == {1}
+    # Rows of one id stay together; of empty and missing texts the one with an id stays.
+    kept = Counter((row.doc_id, row.text) for row in simhash.keep_first(rows(*TEXTS)).collect())
+    assert kept == {(1, "same words here again"): 2, (2, ""): 1}
+
+
+def test_licenses(spark, rows):
+    found = Counter(
+        (row.doc_id, row.license)
+        for row in licenses.scan(rows((1, MIT), (1, MIT), (None, MIT), (None, None), (2, "")), licenses.known_digests(spark)).collect()
+    )
+    assert found == {(1, "MIT"): 2, (None, "MIT"): 1, (None, None): 1, (2, None): 1}
+
+
+def test_quality(spark, rows):
+    labels = spark.createDataFrame([(1, 1, "x"), (1, 1, "x"), (2, 0, "x"), (None, 1, "x")], "doc_id long, quality int, score string")
+    found = quality.classify(rows(*TEXTS), labels).collect()
+    assert Counter(row.doc_id for row in found) == {1: 2, None: 2, 2: 1}
+    assert all(0 <= row.score <= 1 for row in found)
+
+
+def test_secrets(rows):
+    docs = rows((1, "token=abcdef1"), (1, "token=abcdef1"), (None, "token=abcdef1"), (None, None), (2, ""))
+    found = Counter((row.doc_id, row.n_assign) for row in secrets.report(secrets.scan(docs, secrets.train(docs))).collect())
+    assert found == {(1, 1): 2, (None, 1): 1, (None, 0): 1, (2, 0): 1}

@@ -35,6 +35,10 @@ HEADLINE = [
     "cast_lenient_long",
     "qa_count_by_region",
     "pipeline_star",
+    "pipeline_default",
+    "cases_vs_tests_by_key",
+    "appended_days",
+    "preview_ranges",
 ]
 
 

@@ -234,6 +234,33 @@ def test_every_scheme_of_blocks_finds_near_prints(spark):
         assert met.select("r.print").distinct().count() == len(rows)
 
 
+def print_of(line):
+    hashes = {xxhash.xxh64_intdigest(word, 42) for word in line.split()}
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def lines_that_share_one_block():
+    """Near lines with other ends whose prints agree in one of three blocks, but not in two of four."""
+    draw = random.Random(5)
+    while True:
+        words = [f"word{draw.randrange(10**6)}" for _ in range(30)]
+        other = ["x" + words[0][1:], *words[1:-1], words[-1][:-1] + "x"]
+        differ = print_of(" ".join(words)) ^ print_of(" ".join(other))
+        same = [sum(not differ >> a & (1 << b - a) - 1 for a, b in zip(at, at[1:])) for at in ((0, 21, 42, 64), (0, 16, 32, 48, 64))]
+        if same[0] and same[1] < 2 and differ.bit_count() <= lines.DISTANCE:
+            return " ".join(words), " ".join(other)
+
+
+def test_lines_meet_alike_in_tables_of_any_size(spark, monkeypatch):
+    """The same texts lose the same lines, however many other lines there are said to be."""
+    one, two = lines_that_share_one_block()
+    df = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    for counted in (2, 1 << 24, 1 << 34, 1 << 41):
+        monkeypatch.setattr(type(df), "count", lambda self, counted=counted: counted)
+        kept = {row.doc_id: row.text for row in lines.deduplicated(df).collect()}
+        assert kept == {1: one, 2: ""}
+
+
 def test_prints_are_majorities_of_different_words(spark):
     """All words of a line up to 63 different ones, and the 63 of the least hashes beyond."""
     rows = [" ".join(f"w{i}" for i in range(n)) for n in (*range(1, 41), 63, 64, 300)]

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daystar.llm import bpe, fingerprints, licenses, lines, mixing, quality, repeats, secret_samples, secrets, simhash
 from daystar.llm.license_texts import KNOWN
 from daystar.llm.oracles import ORACLES
@@ -261,6 +262,14 @@ def test_lines_meet_alike_in_tables_of_any_size(spark, monkeypatch):
         assert kept == {1: one, 2: ""}
 
 
+def test_line_stage_of_the_pipeline_meets_alike_at_any_size(spark, monkeypatch):
+    one, two = lines_that_share_one_block()
+    df = spark.createDataFrame([(1, one, 7), (2, two, 7)], "doc_id long, text string, n_chars long")
+    monkeypatch.setattr(type(df), "count", lambda self: 1 << 24)
+    kept = {row.doc_id: (row.text, row.n_chars) for row in corpus_pipeline.dedup_lines(spark, df, None).collect()}
+    assert kept == {1: (one, 7), 2: ("", 0)}
+
+
 def test_prints_are_majorities_of_different_words(spark):
     """All words of a line up to 63 different ones, and the 63 of the least hashes beyond."""
     rows = [" ".join(f"w{i}" for i in range(n)) for n in (*range(1, 41), 63, 64, 300)]
@@ -277,6 +286,23 @@ def test_words_count_once_in_a_print(spark):
     assert len({row.print for row in lines.line_table(df).collect()}) == 1
 
 
+def test_plain_edits_are_enough(spark):
+    """Never fewer than the distance; few where one stretch of words is left out and others are changed."""
+    draw, rows = random.Random(4), []
+    for at in range(300):
+        one = draw.choices(["", "a", "bc", "déf", "ghij", "klmnopq"], k=draw.randint(1, 14))
+        cut = draw.randrange(len(one))
+        two = one[:cut] + one[cut + draw.randint(0, 3) :]
+        two = [draw.choice(["bc", "x", word]) for word in two] if at % 2 else two
+        rows.append((at, " ".join(one), " ".join(two)))
+    df = spark.createDataFrame(rows, "id long, text string, text2 string")
+    found = {row.id: row.n for row in df.select("id", lines._plain_edits("text", "text2").alias("n")).collect()}
+    for at, one, two in rows:
+        assert levenshtein(one, two) <= found[at]
+        if at % 2 == 0:
+            assert found[at] <= 3 * (1 + max(map(len, one.split(" "))))
+
+
 def test_verified_pairs_equal_plain_distance(spark):
     draw, rows = random.Random(2), []
     for at in range(1200):
@@ -344,6 +370,29 @@ def test_recall_of_planted_lines(spark, words):
     assert all(kept[2 * i] for i in range(120))
 
 
+def test_large_groups_of_variants_list_few_pairs(spark, monkeypatch):
+    """Lines far from the first ones of their group are tied in later rounds, before pairs are listed."""
+    draw, counted = random.Random(8), []
+    base = prose("variants", 60).split()
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in draw.sample(range(3, 57), 5):
+            words[at] = f"v{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    verified = lines._verified
+
+    def counting(pairs, *more):
+        counted.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(lines, "_verified", counting)
+    kept = [row.text for row in lines.deduplicated(df).collect() if row.text]
+    assert kept == [rows[0][1]]
+    assert sum(counted) <= 2 * len(rows), counted
+
+
 def test_line_columns(docs):
     found = lines.deduplicated(docs)
     assert found.dtypes == docs.dtypes

@@ -303,6 +303,69 @@ def test_plain_edits_are_enough(spark):
             assert found[at] <= 3 * (1 + max(map(len, one.split(" "))))
 
 
+def test_walked_edits_are_enough(spark):
+    """Never fewer than the distance, and few where words are put in, left out and changed at many places."""
+    draw, rows = random.Random(6), []
+    for at in range(200):
+        one = draw.choices(["", "a", "bc", "déf", "ghij", "klmnopq"], k=draw.randint(1, 14))
+        two = [word for word in one for _ in range(draw.choice((0, 1, 1, 1, 2)))]
+        rows.append((at, " ".join(one), " ".join(draw.choice(["x", word, word]) for word in two)))
+    for at in range(200, 220):
+        one = [f"w{draw.randrange(10**4)}" for _ in range(300)]
+        two = list(one)
+        for place in sorted(draw.sample(range(300), 24), reverse=True):
+            two[place : place + 1] = draw.choice(([], ["other"], [two[place], "more"]))
+        rows.append((at, " ".join(one), " ".join(two)))
+    df = spark.createDataFrame(rows, "id long, text string, text2 string")
+    df = df.select("id", lines._walked_edits("text", "text2").alias("n"), lines._plain_edits("text", "text2").alias("plain"))
+    found = {row.id: row for row in df.collect()}
+    for at, one, two in rows[:200]:
+        assert levenshtein(one, two) <= found[at].n
+    for at, one, two in rows[200:]:
+        most = max(len(one), len(two)) // 5
+        assert found[at].n <= most < found[at].plain
+
+
+def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
+    """Lines of the same words in another order meet in every round, but are compared once."""
+    words = prose("again", 30).split()
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(reversed(words)))], "doc_id long, text string")
+    verified, compared = lines._verified, []
+
+    def noting(pairs, *more):
+        compared.extend(frozenset((row.line, row.line2)) for row in pairs.collect())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(lines, "_verified", noting)
+    assert all(row.text for row in lines.deduplicated(df).collect())
+    assert len(compared) == 1
+
+
+def test_lines_of_buckets_are_shuffled_once(spark):
+    """Both sides of the join that looks for partners read one shuffle."""
+    df = spark.createDataFrame([(i, prose(f"once{i}", 20)) for i in range(5)], "doc_id long, text string")
+    different = lines.different_lines(lines.line_table(df))
+    before = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        near = lines.with_partner(different, lines.BLOCKS, lines.AGREE, lines.DISTANCE, lines.SIMILARITY)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "ReusedExchange" in plan
+
+
+def test_texts_of_lines_are_those_of_whole_texts(spark):
+    text = "\u039f\u0394\u039f\u03a3\n\u03a3 A_b--C\n--\n\u00c9,\u2028x1 \n\n\u0130I\u03a3"
+    rows = lines.told_apart(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    wanted = lines.lines_of(rows).selectExpr("key", "tie", "pos", "cast(pos as long) as line")
+    whole = rows.select(lines.normalised(F.col("row.text")).alias("n")).first().n.split("\n")
+    found = {row.line: row.text for row in lines.line_texts(rows, wanted).collect()}
+    assert found == {at: line.strip(" ") for at, line in enumerate(whole) if line.strip(" ")}
+
+
 def test_verified_pairs_equal_plain_distance(spark):
     draw, rows = random.Random(2), []
     for at in range(1200):

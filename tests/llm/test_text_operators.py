@@ -457,6 +457,33 @@ def test_large_groups_of_variants_list_few_pairs(spark, monkeypatch):
     assert sum(counted) <= len(rows) ** 2 // 20, counted
 
 
+def test_lines_take_near_ones_before_pairs_are_listed(spark, monkeypatch):
+    """Families of variants that all meet each other: members are tied by few links, not by all that they have."""
+    draw, rows, linked = random.Random(12), [], []
+    base = [f"w{draw.randrange(100)}" for _ in range(60)]
+
+    def changed(words, n):
+        new = {at: f"v{draw.randrange(100)}x" for at in draw.sample(range(8, 52), n)}
+        return [new.get(at, word) for at, word in enumerate(words)]
+
+    for _ in range(8):
+        family = changed(base, 14)
+        rows += [" ".join(changed(family, 2)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    verified = lines._verified
+
+    def noting(pairs, *more):
+        found = verified(pairs, *more).localCheckpoint()
+        linked.append(found.count())
+        return found
+
+    monkeypatch.setattr(lines, "_verified", noting)
+    kept = [row.doc_id for row in lines.deduplicated(df).collect() if row.text]
+    assert kept[0] == 0 and len(kept) <= 8
+    # All pairs of families are 1,520.
+    assert sum(linked) <= 3 * len(rows), linked
+
+
 def test_line_columns(docs):
     found = lines.deduplicated(docs)
     assert found.dtypes == docs.dtypes

@@ -281,6 +281,19 @@ def test_prints_are_majorities_of_different_words(spark):
         assert row.print & (1 << 64) - 1 == wanted
 
 
+def test_prints_have_all_words_of_long_lines(spark):
+    """No word of a line is left out, however many it has."""
+    rows = [" ".join(f"w{i}" for i in range(n)) for n in (63, 64, 126, 127, 300, 5000)]
+    df = spark.createDataFrame([(1, "\n".join(rows)), (2, rows[-1] + " more")], "doc_id long, text string")
+    found = {(row.key, row.pos): row for row in lines.line_table(df).collect()}
+    assert len(found) == len(rows) + 1
+    for pos, line in enumerate(rows):
+        row = found[1, pos]
+        assert (row.print & (1 << 64) - 1, row.size, row.short) == (print_of(line), len(line), None)
+        assert len(row.ends) == 2
+    assert found[2, 0].print & (1 << 64) - 1 == print_of(rows[-1] + " more")
+
+
 def test_words_count_once_in_a_print(spark):
     df = spark.createDataFrame([(1, "one two three"), (2, "three one two two one one")], "doc_id long, text string")
     assert len({row.print for row in lines.line_table(df).collect()}) == 1

@@ -339,6 +339,21 @@ def test_walked_edits_are_enough(spark):
         assert found[at].n <= most < found[at].plain
 
 
+def test_lines_are_compared_without_their_shared_ends(spark):
+    """What two texts share at their ends is taken off once, and the distance stays."""
+    draw, rows = random.Random(9), [("", "a"), ("aa", "aaaa"), ("éa b", "éa c b"), ("x" * 3000 + "y" + "x" * 3000, "x" * 6000)]
+    for _ in range(200):
+        head, one, two, tail = ("".join(draw.choices("abé ", k=draw.randint(0, n))) for n in (9, 5, 5, 9))
+        rows.append((head + one + tail, head + two + tail))
+    df = spark.createDataFrame(rows, "text1 string, text2 string")
+    found = df.select("*", lines._without_shared("text1", "text2").alias("own")).collect()
+    for one, two, own in found:
+        assert not own.one or not own.two or own.one[0] != own.two[0] and own.one[-1] != own.two[-1]
+        assert len(own.one) <= len(one) and len(one) - len(own.one) == len(two) - len(own.two)
+        if len(one) < 100:
+            assert levenshtein(one, two) == levenshtein(own.one, own.two)
+
+
 def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
     """Lines of the same words in another order meet in every round, but are compared once."""
     words = prose("again", 30).split()
